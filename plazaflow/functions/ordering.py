@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def with_sequence(df: DataFrame, order: list[str], name: str = "_seq") -> DataFrame:
@@ -45,20 +45,32 @@ def with_rank(df: DataFrame, keys: list[str], order: list[str], name: str = "_ra
     )
 
 
+def with_series_index(df: DataFrame, keys: list[str], order: str, name: str = "_seq") -> DataFrame:
+    """Adds the 0-based position within each series, ordered by the date column `order`.
+
+    Rows are numbered inside (series, month) and shifted by the rows of earlier months,
+    so a long series is spread over its months. Only the month counts of a series meet
+    in one window. The remaining sortable columns break ties.
+    """
+    kinds = dict(df.dtypes)
+    rest = [c for c in df.columns if c != order and c not in keys and not kinds[c].startswith("map")]
+    rows = df.withColumn("_month", F.trunc(order, "MM"))
+    counts = rows.groupBy(*keys, "_month").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(*keys, "_month", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_month").orderBy(order, *rest)) - 1
+    numbered = rows.withColumn("_inside", inside).join(base, [*keys, "_month"])
+    return numbered.withColumn(name, F.col("_base") + F.col("_inside")).drop("_month", "_inside", "_base")
+
+
 def halo_blocks(df: DataFrame, seq: str, halo: int, size: int = 8192) -> DataFrame:
-    """Cuts the sequence into blocks and repeats the `halo` rows on each side.
+    """Cuts a series (or sequence) into blocks and repeats the `halo` rows on each side.
 
     A frame of at most `halo` rows each way over (keys, _block) then sees the same
     rows as over the whole series, while a task holds size + 2*halo rows at most.
     Keep only `_core` rows after the window; each row is core in one block.
     """
     own = F.floor(F.col(seq) / size)
-    blocks = F.array_distinct(
-        F.array(own, F.floor((F.col(seq) - halo) / size), F.floor((F.col(seq) + halo) / size))
-    )
+    before, after = F.floor((F.col(seq) - halo) / size), F.floor((F.col(seq) + halo) / size)
+    blocks = F.array_distinct(F.array(own, F.greatest(before, F.lit(0)), after))
     return df.withColumn("_block", F.explode(blocks)).withColumn("_core", F.col("_block") == own)
-
-
-def nth_of(ranked: DataFrame, position: Column, value: str, alias: str) -> Column:
-    """Aggregate that picks the value at a position (used for exact medians)."""
-    return F.max(F.when(F.col("_rank") == position, F.col(value))).alias(alias)

@@ -1,8 +1,8 @@
 """Gate counts: conform labels, fill dead sensors, correct double counting.
 
 Both cleaning steps look at neighbouring rows of one gate-hour series. The series
-is laid out by a range-partitioned sort and cut into blocks with a halo, so no
-series has to fit in one task.
+is numbered month by month and cut into blocks with a halo, so no series has to fit
+in one task.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import flags
 from plazaflow.functions.frames import literal_frame
-from plazaflow.functions.ordering import halo_blocks, with_sequence
+from plazaflow.functions.ordering import halo_blocks, with_series_index
 from plazaflow.operators.calendar import is_weekend
 
 COUNTS = ["count_in", "count_out"]
@@ -55,34 +55,28 @@ def conform_alias(df: DataFrame, aliases: DataFrame) -> DataFrame:
     return joined.withColumn("_dq_flags", marks).drop("alias", "alias_gate_id")
 
 
-def _fill_gaps(cols: list[str], half: int):
+def _fill_gaps(keys: list[str], cols: list[str], half: int):
     """Streams over gaps in series order. Only the last fills are remembered, so a
     long outage costs no memory; a new chain starts with nothing remembered."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chain = None
-        filled: dict[str, dict[int, float]] = {c: {} for c in cols}
+        filled: dict[str, dict[int, float]] = {}
         for batch in batches:
-            out = {"_seq": batch["_seq"].to_numpy()}
-            results: dict[str, list[float | None]] = {f"_fill_{c}": [] for c in cols}
-            for i, at in enumerate(out["_seq"]):
-                key = batch["_chain"].iat[i]
-                if key != chain:
-                    chain = key
-                    filled = {c: {} for c in cols}
-                near = batch["_near"].iat[i]
+            fills: dict[str, list[float | None]] = {c: [] for c in cols}
+            chains = zip(*[batch[k] for k in [*keys, "_chain"]])
+            for of, at, near in zip(chains, batch["_seq"], batch["_near"]):
+                if of != chain:
+                    chain, filled = of, {c: {} for c in cols}
                 for c in cols:
-                    own = [r[c] for r in near if r["_seq"] == at][0]
-                    value = None
-                    if own is None:
-                        seen = [r[c] if r[c] is not None else filled[c].get(r["_seq"]) for r in near]
-                        seen = [v for v in seen if v is not None]
-                        if seen:
-                            value = float(np.round(np.mean(seen)))
-                            filled[c] = {s: v for s, v in filled[c].items() if s >= at - half}
-                            filled[c][int(at)] = value
-                    results[f"_fill_{c}"].append(value)
-            yield pd.DataFrame({**out, **results})
+                    seen = [r[c] if r[c] is not None else filled[c].get(r["_seq"]) for r in near]
+                    seen = [v for v in seen if v is not None]
+                    missing = any(r["_seq"] == at and r[c] is None for r in near)
+                    fills[c].append(float(np.round(np.mean(seen))) if missing and seen else None)
+                    if fills[c][-1] is not None:
+                        filled[c] = {s: v for s, v in filled[c].items() if s >= at - half}
+                        filled[c][at] = fills[c][-1]
+            yield pd.DataFrame({**{k: batch[k] for k in [*keys, "_seq"]}, **{f"_fill_{c}": fills[c] for c in cols}})
 
     return run
 
@@ -98,7 +92,7 @@ def impute_series(
     `half` rows apart cannot influence each other, so chains of nearer gaps are the
     unit that must stay in order.
     """
-    rows = with_sequence(df, [*keys, order])
+    rows = with_series_index(df, keys, order)
     gap = reduce(or_, [F.col(c).isNull() for c in cols])
     block = Window.partitionBy(*keys, "_block").orderBy("_seq")
     slim = halo_blocks(rows.select(*keys, "_seq", *cols, gap.alias("_gap")), "_seq", half)
@@ -116,12 +110,12 @@ def impute_series(
     chain = F.max(F.when(opens, F.col("_seq"))).over(
         Window.partitionBy(*keys).orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
     )
-    chained = gaps.withColumn("_chain", chain).select("_chain", "_seq", "_near")
-    schema = "_seq bigint, " + ", ".join(f"_fill_{c} double" for c in cols)
-    fills = chained.repartition("_chain").sortWithinPartitions("_chain", "_seq").mapInPandas(
-        _fill_gaps(cols, half), schema
-    )
-    joined = rows.withColumn("is_imputed", gap).join(fills, "_seq", "left")
+    chained = gaps.withColumn("_chain", chain).select(*keys, "_chain", "_seq", "_near")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([f"{k} {kinds[k]}" for k in [*keys, "_seq"]] + [f"_fill_{c} double" for c in cols])
+    laid = chained.repartition(*keys, "_chain").sortWithinPartitions(*keys, "_chain", "_seq")
+    fills = laid.mapInPandas(_fill_gaps(keys, cols, half), schema)
+    joined = rows.withColumn("is_imputed", gap).join(fills, [*keys, "_seq"], "left")
     for c in cols:
         joined = joined.withColumn(c, F.coalesce(c, f"_fill_{c}"))
     return joined.drop("_seq", *[f"_fill_{c}" for c in cols])
@@ -133,11 +127,16 @@ def correct_outliers(
 ) -> DataFrame:
     """A count above `ratio` times the centred rolling median becomes that median, half-even."""
     half = rows // 2
-    blocks = halo_blocks(with_sequence(df, [*keys, order]), "_seq", half)
+    blocks = halo_blocks(with_series_index(df, keys, order), "_seq", half)
     frame = Window.partitionBy(*keys, "_block").orderBy("_seq").rowsBetween(-half, half)
     for c in cols:
-        middle = F.when(F.count(c).over(frame) >= min_rows, F.percentile(c, F.lit(0.5)).over(frame))
-        blocks = blocks.withColumn(f"_med_{c}", middle)
+        # sorting the frame's values is several times cheaper here than percentile(), which
+        # rebuilds a map of boxed values for every row
+        values, size = F.sort_array(F.collect_list(c).over(frame)), F.count(c).over(frame)
+        blocks = blocks.withColumn("_values", values).withColumn("_size", size)
+        low, high = (F.get("_values", F.floor(n / 2).cast("int")) for n in (F.col("_size") - 1, F.col("_size")))
+        middle = F.when(F.col("_size") >= min_rows, (low + high) / 2)
+        blocks = blocks.withColumn(f"_med_{c}", middle).drop("_values", "_size")
     out = blocks.filter("_core")
     high = {
         c: F.coalesce(F.col(c) / F.when(F.col(f"_med_{c}") != 0, F.col(f"_med_{c}")) > ratio, F.lit(False))

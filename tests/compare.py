@@ -65,7 +65,8 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
     sf_dir, prefixes = f"/root/testdata/{sf}", tuple(sys.argv[2:])
     spark = get_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+                                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in entry.queries():
