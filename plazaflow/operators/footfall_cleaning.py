@@ -13,7 +13,7 @@ from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import flags
 from plazaflow.functions.frames import literal_frame
@@ -83,7 +83,7 @@ def _fill_gaps(keys: list[str], cols: list[str], half: int):
 
 def impute_series(
     df: DataFrame, keys: list[str] = SERIES, cols: list[str] = COUNTS,
-    order: str = "footfall_date", half: int = 7,
+    order: str = "footfall_date", half: int = 7, block_rows: int = 8192,
 ) -> DataFrame:
     """Null counts become the half-even mean of the non-null values up to `half` rows
     each way in their series, where an earlier fill counts for a later one.
@@ -95,7 +95,7 @@ def impute_series(
     rows = with_series_index(df, keys, order)
     gap = reduce(or_, [F.col(c).isNull() for c in cols])
     block = Window.partitionBy(*keys, "_block").orderBy("_seq")
-    slim = halo_blocks(rows.select(*keys, "_seq", *cols, gap.alias("_gap")), "_seq", half)
+    slim = halo_blocks(rows.select(*keys, "_seq", *cols, gap.alias("_gap")), "_seq", half, block_rows)
     around = block.rowsBetween(-half, half)
     gaps = (
         slim.withColumn("_touched", F.max("_gap").over(around))
@@ -124,20 +124,24 @@ def impute_series(
 def correct_outliers(
     df: DataFrame, keys: list[str] = [*SERIES, "is_weekend"], cols: list[str] = COUNTS,
     order: str = "footfall_date", rows: int = 61, min_rows: int = 15, ratio: float = 1.5,
+    block_rows: int = 8192,
 ) -> DataFrame:
     """A count above `ratio` times the centred rolling median becomes that median, half-even."""
     half = rows // 2
-    blocks = halo_blocks(with_series_index(df, keys, order), "_seq", half)
+    blocks = halo_blocks(with_series_index(df, keys, order), "_seq", half, block_rows)
     frame = Window.partitionBy(*keys, "_block").orderBy("_seq").rowsBetween(-half, half)
-    for c in cols:
-        # sorting the frame's values is several times cheaper here than percentile(), which
-        # rebuilds a map of boxed values for every row
-        values, size = F.sort_array(F.collect_list(c).over(frame)), F.count(c).over(frame)
-        blocks = blocks.withColumn("_values", values).withColumn("_size", size)
-        low, high = (F.get("_values", F.floor(n / 2).cast("int")) for n in (F.col("_size") - 1, F.col("_size")))
-        middle = F.when(F.col("_size") >= min_rows, (low + high) / 2)
-        blocks = blocks.withColumn(f"_med_{c}", middle).drop("_values", "_size")
-    out = blocks.filter("_core")
+    # sorting the frame's values is several times cheaper here than percentile(), which
+    # rebuilds a map of boxed values for every row
+    blocks = blocks.withColumns({f"_values_{c}": F.collect_list(c).over(frame) for c in cols})
+
+    def middle(c: str) -> Column:
+        values = F.sort_array(f"_values_{c}")
+        size = F.size(values)
+        low, high = (F.get(values, F.floor(n / 2).cast("int")) for n in (size - 1, size))
+        return F.when(size >= min_rows, (low + high) / 2)
+
+    blocks = blocks.filter("_core").withColumns({f"_med_{c}": middle(c) for c in cols})
+    out = blocks.drop(*[f"_values_{c}" for c in cols])
     high = {
         c: F.coalesce(F.col(c) / F.when(F.col(f"_med_{c}") != 0, F.col(f"_med_{c}")) > ratio, F.lit(False))
         for c in cols
