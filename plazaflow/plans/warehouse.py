@@ -12,7 +12,7 @@ from plazaflow.functions.frames import literal_frame
 from plazaflow.operators import dims as dim_ops, facts as fact_ops, footfall_cleaning as foot, quality, silver as sv
 from plazaflow.operators import site_analytics, views as view_ops
 from plazaflow.sources import drops, exports, registry as reg
-from plazaflow.sources.tables import Warehouse
+from plazaflow.sources.tables import Warehouse, path_exists
 
 WRITERS = 4  # independent tables written at the same time; each write is its own Spark job
 
@@ -59,24 +59,16 @@ def load_bronze(wh: Warehouse, drop_root: str) -> dict[str, int]:
     spark, root = wh.spark, drop_root.rstrip("/")
     for source, pattern in drops.SOURCES.items():
         manifest = None
-        if source == "tenant_sales":
-            try:
-                manifest = spark.read.option("header", True).csv(f"{root}/tenant_sales/_submission_manifest.csv")
-            except Exception as error:  # a drop without a manifest is allowed
-                if "PATH_NOT_FOUND" not in str(error):
-                    raise
+        folder = f"{root}/{source}"
+        if source == "tenant_sales" and path_exists(spark, f"{folder}/{drops.MANIFEST}"):
+            manifest = drops.read_manifest(spark, folder)
         columns = drops.COLUMNS[source].split()
-        loaded[source] = load_source(wh, source, f"{root}/{source}/{pattern}", columns, f"{source}_raw", manifest)
+        loaded[source] = load_source(wh, source, f"{folder}/{pattern}", columns, f"{source}_raw", manifest)
     for name in drops.MASTER_FILES:
         path = f"{root}/master_data/{name}.csv"
-        columns = list(sv.MASTER_SCHEMAS[name])
-        try:
-            n = load_source(wh, "master_data", path, columns, f"master_{name}_raw")
-        except Exception as error:  # a master file that is not there is skipped
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            n = 0
-        loaded["master_data"] = loaded.get("master_data", 0) + n
+        if path_exists(spark, path):  # a master file that is not there is skipped
+            n = load_source(wh, "master_data", path, list(sv.MASTER_SCHEMAS[name]), f"master_{name}_raw")
+            loaded["master_data"] = loaded.get("master_data", 0) + n
     return loaded
 
 
@@ -98,6 +90,14 @@ def silver_frames(bronze, cfg: dict, spark: SparkSession) -> dict[str, DataFrame
     return frames
 
 
+def bronze_frame(wh: Warehouse, source: str) -> DataFrame:
+    """A landed table, or an empty one for a source that never arrived."""
+    if wh.exists("bronze", f"{source}_raw"):
+        return wh.read_table("bronze", f"{source}_raw")
+    columns = list(sv.MASTER_SCHEMAS.get(source.removeprefix("master_"), [])) or drops.COLUMNS[source].split()
+    return drops.read_by_header(wh.spark, [], columns)
+
+
 def _store(wh: Warehouse, layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     with ThreadPoolExecutor(WRITERS) as pool:
         stored = pool.map(lambda item: (item[0], wh.replace_table(layer, *item)), frames.items())
@@ -117,7 +117,7 @@ def run(spark: SparkSession, cfg: dict, drop_root: str, warehouse_root: str, run
     """True when both gates passed. Raises GateFailure when silver must not reach gold."""
     wh, run_id = Warehouse(spark, warehouse_root), run_id or str(uuid.uuid4())
     load_bronze(wh, drop_root)
-    silver = _store(wh, "silver", silver_frames(lambda s: wh.read_table("bronze", f"{s}_raw"), cfg, spark))
+    silver = _store(wh, "silver", silver_frames(lambda s: bronze_frame(wh, s), cfg, spark))
     if not _gate(wh, "silver", quality.silver_suite(silver, cfg["date_range"]["end"]), run_id):
         raise GateFailure("silver failed an error-severity check; gold was not built")
     dims = _store(wh, "gold", dim_ops.build_dims(spark, silver, cfg))

@@ -129,6 +129,32 @@ def with_filing_name(raw: DataFrame) -> DataFrame:
     )
 
 
+MANIFEST = "_submission_manifest.csv"
+MANIFEST_SCHEMA = "filename string, submitted_date string"
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The submission manifest of a tenant folder. Spark skips file names with a leading
+    underscore, so one task streams it; it has a line per filing, no sales rows."""
+    path = f"{folder.rstrip('/')}/{MANIFEST}"
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import csv, fs, string
+
+        for batch in batches:
+            for one in batch["path"]:
+                system, inner = fs.FileSystem.from_uri(one) if ":" in one else (fs.LocalFileSystem(), one)
+                names = ["filename", "submitted_date"]
+                as_text = csv.ConvertOptions(
+                    column_types={n: string() for n in names}, include_columns=names, strings_can_be_null=True
+                )
+                with system.open_input_stream(inner) as raw, csv.open_csv(raw, convert_options=as_text) as reader:
+                    for part in reader:
+                        yield part.to_pandas()
+
+    return spark.createDataFrame([(path,)], "path string").mapInPandas(stream, MANIFEST_SCHEMA)
+
+
 def attach_manifest(df: DataFrame, manifest: DataFrame) -> DataFrame:
     """submitted_date by file name; null for a file the manifest does not list."""
     dates = manifest.select(F.col("filename").alias("_source_file"), "submitted_date")

@@ -14,6 +14,11 @@ MONTH_OF = {
 }
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 class Warehouse:
     """Paths under one folder that every executor can reach."""
 
@@ -24,9 +29,7 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def exists(self, layer: str, name: str) -> bool:
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+        return path_exists(self.spark, self.path(layer, name))
 
     def read_table(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
