@@ -106,11 +106,16 @@ def impute_series(
     earlier_gap = F.exists(
         "_near", lambda r: (r["_seq"] < F.col("_seq")) & reduce(or_, [r[c].isNull() for c in cols])
     )
-    opens = ~earlier_gap
-    chain = F.max(F.when(opens, F.col("_seq"))).over(
-        Window.partitionBy(*keys).orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    # a chain is named by the gap that opens it: the last opening so far in the block, or else
+    # the last one of an earlier block, so that no window spans a whole series
+    opened = gaps.withColumn("_open", F.when(~earlier_gap, F.col("_seq")))
+    so_far = F.max("_open").over(block.rowsBetween(Window.unboundedPreceding, 0))
+    per_block = opened.groupBy(*keys, "_block").agg(F.max("_open").alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_block.select(*keys, "_block", F.max("_last").over(earlier).alias("_carried"))
+    chained = opened.withColumn("_so_far", so_far).join(carried, [*keys, "_block"]).select(
+        *keys, F.coalesce("_so_far", "_carried").alias("_chain"), "_seq", "_near"
     )
-    chained = gaps.withColumn("_chain", chain).select(*keys, "_chain", "_seq", "_near")
     kinds = dict(rows.dtypes)
     schema = ", ".join([f"{k} {kinds[k]}" for k in [*keys, "_seq"]] + [f"_fill_{c} double" for c in cols])
     laid = chained.repartition(*keys, "_chain").sortWithinPartitions(*keys, "_chain", "_seq")
