@@ -884,12 +884,75 @@ def _(s):
     return dq.summarise(small_results(s))
 
 
-@query("q12_silver_suite")
+FRESH_FOOT = fresh_sql("footfall_freshness", "footfall_hourly", "SELECT max(footfall_date) AS m FROM s_foot0")
+FRESH_BOOK = fresh_sql("web_bookings_freshness", "web_bookings", "SELECT max(booking_date) AS m FROM s_booking")
+
+
+@query("q12_silver_suite", f"{UNIQUE_SQL} UNION ALL {FRESH_POS} UNION ALL {FRESH_FOOT} UNION ALL {FRESH_BOOK} UNION ALL {FRESH_WEB}")
 def _(s):
     return dq.silver_suite(s.silver, END)
 
 
-@query("q12_gold_suite")
+def rows_sql(name: str, table: str, silver: str, gold: str, share: float) -> str:
+    return result_sql(name, "row_count", "gold", table, f"g >= {share} * s", f"'>= {share:.0%} of silver (' || s || ')'", "g",
+                      "'ratio=' || printf('%.4f', g / s)") + f" FROM (SELECT count(*) AS s FROM {silver}), (SELECT count(*) AS g FROM {gold})"
+
+
+def repeats_sql(name: str, table: str, source: str, keys: str) -> str:
+    return count_sql(name, "uniqueness", "gold", table, f"SELECT count(*) AS n FROM (SELECT 1 FROM {source} GROUP BY {keys} HAVING count(*) > 1)")
+
+
+def missing_sql(name: str, table: str, key: str, dim: str, source: str, match: str, details: str | None = None) -> str:
+    return count_sql(name, "referential_integrity", "gold", table,
+                     f"SELECT count(*) AS n FROM {source} f WHERE NOT EXISTS (SELECT 1 FROM {match})", details or f"{key} -> gold.{dim}.{key}")
+
+
+GOLD_SQL = [
+    rows_sql("fact_pos_sales_vs_silver", "fact_pos_sales", "s_pos WHERE NOT is_duplicate", "f_pos", 0.99),
+    rows_sql("fact_footfall_vs_silver", "fact_footfall", "s_foot0", "f_foot", 1.0),
+    rows_sql("fact_tenant_sales_vs_silver", "fact_tenant_sales", "s_filing", "f_tenant", 1.0),
+    rows_sql("fact_bookings_vs_silver", "fact_bookings", "s_booking", "f_booking", 0.99),
+    rows_sql("fact_web_sessions_vs_silver", "fact_web_sessions", "s_session", "f_session", 1.0),
+    rows_sql("fact_lesson_slots_vs_silver", "fact_lesson_slots", "s_lesson", "f_lesson", 1.0),
+    repeats_sql("dim_tenant_one_current_per_tenant", "dim_tenant", "d_tenant WHERE valid_to IS NULL", "tenant_id"),
+    repeats_sql("fact_footfall_gate_date_hour_unique", "fact_footfall", "f_foot", "gate_id, date_key, hour"),
+    repeats_sql("fact_tenant_sales_version_unique", "fact_tenant_sales", "f_tenant", "tenant_id, valid_from, month_date_key, submission_version"),
+    repeats_sql("fact_membership_months_contract_month_unique", "fact_membership_months", "f_member", "contract_id, month_date_key"),
+    missing_sql("fact_pos_sales_date_key_valid", "fact_pos_sales", "date_key", "dim_date", "f_pos", "cal d WHERE d.date_key = f.date_key"),
+    missing_sql("fact_pos_sales_product_key_valid", "fact_pos_sales", "product_key", "dim_product", "f_pos", "d_product d WHERE d.product_id = f.item_id"),
+    missing_sql("fact_bookings_customer_key_valid", "fact_bookings", "customer_key", "dim_customer", "f_booking",
+                "s_booking d WHERE d.customer_id = f.customer_id"),
+    missing_sql("fact_bookings_product_key_valid", "fact_bookings", "product_key", "dim_product",
+                "(SELECT * FROM f_booking WHERE sku_code IS NOT NULL)", "d_product d WHERE d.product_code = f.sku_code"),
+    missing_sql("fact_membership_months_member_key_valid", "fact_membership_months", "member_key", "dim_member", "f_member",
+                "s_member d WHERE d.canonical_member_id = f.canonical_member_id"),
+    missing_sql("fact_lesson_slots_instructor_key_valid", "fact_lesson_slots", "instructor_key", "dim_instructor", "f_lesson",
+                "d_instructor d WHERE d.instructor_id = f.instructor_id"),
+    missing_sql("fact_tenant_sales_tenant_key_valid", "fact_tenant_sales", "tenant_key", "dim_tenant", "f_tenant",
+                "d_tenant d WHERE d.tenant_id = f.tenant_id"),
+    count_sql("membership_months_stable_key_matches_boarding_type", "referential_integrity", "gold", "fact_membership_months",
+              "SELECT count(*) AS n FROM f_member WHERE (contract_type = 'horse_boarding') <> (stable_id IS NOT NULL)",
+              "stable_key must be set iff contract_type = horse_boarding"),
+    missing_sql("dim_gate_primary_venue_served_valid", "dim_gate", "", "", "(SELECT * FROM d_gate WHERE primary_venue_served IS NOT NULL)",
+                "d_venue d WHERE d.venue_id = f.primary_venue_served", "primary_venue_served -> gold.dim_venue.venue_id"),
+    count_sql("dim_gate_spatial_metadata_populated", "referential_integrity", "gold", "dim_gate",
+              "SELECT count(*) AS n FROM d_gate WHERE gate_label IS NULL OR zone IS NULL", "gate_label, zone set from config spatial section"),
+    count_sql("dim_venue_spatial_metadata_populated", "referential_integrity", "gold", "dim_venue",
+              "SELECT count(*) AS n FROM d_venue WHERE zone IS NULL OR gate_proximity IS NULL", "zone, gate_proximity set from config spatial section"),
+    count_sql("dim_tenant_spatial_metadata_populated", "referential_integrity", "gold", "dim_tenant",
+              "SELECT count(*) AS n FROM d_tenant WHERE CAST(substr(tenant_id, 2) AS BIGINT) >= 10", "zone, gate_proximity set from config spatial section"),
+    count_sql("pos_sales_refund_has_negative_amount", "value_range", "gold", "fact_pos_sales",
+              "SELECT count(*) AS n FROM f_pos WHERE is_refund AND line_amount_kwd >= 0", "every is_refund row must have line_amount_kwd < 0"),
+    count_sql("footfall_counts_non_negative", "value_range", "gold", "fact_footfall",
+              "SELECT count(*) AS n FROM f_foot WHERE count_in < 0 OR count_out < 0"),
+    count_sql("lesson_slots_attended_not_above_booked", "value_range", "gold", "fact_lesson_slots",
+              "SELECT count(*) AS n FROM f_lesson WHERE attended > booked"),
+    count_sql("tenant_sales_net_not_above_gross", "value_range", "gold", "fact_tenant_sales",
+              "SELECT count(*) AS n FROM f_tenant WHERE net_sales_kwd > gross_sales_kwd"),
+]
+
+
+@query("q12_gold_suite", " UNION ALL ".join(GOLD_SQL))
 def _(s):
     return dq.gold_suite(s.silver, s.dims, s.facts)
 

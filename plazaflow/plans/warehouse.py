@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plazaflow.functions.frames import literal_frame
 from plazaflow.operators import dims as dim_ops, facts as fact_ops, footfall_cleaning as foot, quality, silver as sv
 from plazaflow.operators import site_analytics, views as view_ops
+from plazaflow.operators.calendar import union_all
 from plazaflow.sources import drops, exports, registry as reg
 from plazaflow.sources.tables import Warehouse, path_exists
 
@@ -22,17 +23,16 @@ class GateFailure(RuntimeError):
 
 
 def load_source(
-    wh: Warehouse, source: str, pattern: str, columns: list[str], table: str, manifest: DataFrame | None = None
-) -> int:
-    """Loads new and changed files of one source; returns how many."""
+    wh: Warehouse, known: DataFrame, source: str, pattern: str, columns: list[str], table: str,
+    manifest: DataFrame | None = None,
+) -> tuple[int, DataFrame | None]:
+    """Loads new and changed files of one source; (how many, their registry entries)."""
     spark = wh.spark
-    empty = spark.createDataFrame([], reg.REGISTRY_SCHEMA)
-    known = wh.read_table("bronze", "file_registry") if wh.exists("bronze", "file_registry") else empty
     files = drops.file_fingerprints(spark, pattern).withColumn("source_name", F.lit(source))
-    # one row per file: the list every file scan holds on the driver. Materialised once, so files are read once.
+    # one row per file, the list every file scan holds on the driver; kept so that files are hashed once
     todo_rows = reg.files_to_load(files, known).collect()
     if not todo_rows:
-        return 0
+        return 0, None
     fields = ["source_name", "file_name", "path", "checksum", "header"]
     todo = literal_frame(
         spark, [(*[r[f] for f in fields], r["is_changed"]) for r in todo_rows],
@@ -45,30 +45,40 @@ def load_source(
             "submitted_date", F.lit(None).cast("string"))
     landed = reg.with_drop_month(raw.withColumn("_loaded_at", F.current_timestamp()))
     if wh.exists("bronze", table):
-        landed = reg.merge_files(wh.read_table("bronze", table).withColumn(
-            "_drop_month", F.col("_drop_month").cast("string")), landed, todo)
+        stored = wh.read_table("bronze", table)
+        stored = stored.withColumn("_drop_month", F.col("_drop_month").cast("string"))
+        landed = reg.merge_files(stored, landed, todo)
     wh.replace_partitions("bronze", table, landed)
     names = todo.select(F.col("file_name").alias("_source_file"))
     counts = reg.file_row_counts(wh.read_table("bronze", table).join(names, "_source_file", "left_semi"))
-    wh.replace_self("bronze", "file_registry", reg.upsert_registry(known, reg.loaded_entries(todo, counts)))
-    return len(todo_rows)
+    return len(todo_rows), reg.loaded_entries(todo, counts)
 
 
 def load_bronze(wh: Warehouse, drop_root: str) -> dict[str, int]:
-    loaded = {}
+    """All sources, several at a time; each has its own table. The registry is written once,
+    after the rows: a load that dies in between is repeated without doubling anything."""
     spark, root = wh.spark, drop_root.rstrip("/")
+    known = wh.read_table("bronze", "file_registry") if wh.exists("bronze", "file_registry") else \
+        spark.createDataFrame([], reg.REGISTRY_SCHEMA)
+    loads = []
     for source, pattern in drops.SOURCES.items():
-        manifest = None
         folder = f"{root}/{source}"
+        manifest = None
         if source == "tenant_sales" and path_exists(spark, f"{folder}/{drops.MANIFEST}"):
             manifest = drops.read_manifest(spark, folder)
-        columns = drops.COLUMNS[source].split()
-        loaded[source] = load_source(wh, source, f"{folder}/{pattern}", columns, f"{source}_raw", manifest)
+        loads.append((source, f"{folder}/{pattern}", drops.COLUMNS[source].split(), f"{source}_raw", manifest))
     for name in drops.MASTER_FILES:
         path = f"{root}/master_data/{name}.csv"
         if path_exists(spark, path):  # a master file that is not there is skipped
-            n = load_source(wh, "master_data", path, list(sv.MASTER_SCHEMAS[name]), f"master_{name}_raw")
-            loaded["master_data"] = loaded.get("master_data", 0) + n
+            loads.append(("master_data", path, list(sv.MASTER_SCHEMAS[name]), f"master_{name}_raw", None))
+    with ThreadPoolExecutor(WRITERS) as pool:
+        results = list(pool.map(lambda args: load_source(wh, known, *args), loads))
+    entries = [entry for _, entry in results if entry is not None]
+    if entries:
+        wh.replace_self("bronze", "file_registry", reg.upsert_registry(known, union_all(entries)))
+    loaded: dict[str, int] = {}
+    for (source, *_), (n, _) in zip(loads, results):
+        loaded[source] = loaded.get(source, 0) + n
     return loaded
 
 

@@ -55,10 +55,11 @@ def with_drop_month(df: DataFrame) -> DataFrame:
 
 
 def merge_files(target: DataFrame, new: DataFrame, todo: DataFrame) -> DataFrame:
-    """Rows of the touched partitions after the load: a changed file's old rows leave, all
-    new rows come in. Only partitions that receive rows are read and written back."""
-    changed = todo.filter("is_changed").select(F.col("file_name").alias("_source_file"))
+    """Rows of the touched partitions after the load: the old rows of every loaded file leave,
+    all new rows come in. Leaving out also the rows of files not yet registered makes a load
+    that died before its registry entry safe to repeat. Only partitions that receive rows are
+    read and written back."""
     names = todo.select(F.col("file_name").alias("_source_file"))
     touched = with_drop_month(names).select("_drop_month").distinct()
-    kept = target.join(touched, "_drop_month", "left_semi").join(changed, "_source_file", "left_anti")
+    kept = target.join(touched, "_drop_month", "left_semi").join(names, "_source_file", "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
