@@ -59,8 +59,9 @@ def with_series_index(df: DataFrame, keys: list[str], order: str, name: str = "_
     before = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(*keys, "_month", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     inside = F.row_number().over(Window.partitionBy(*keys, "_month").orderBy(order, *rest)) - 1
-    numbered = rows.withColumn("_inside", inside).join(base, [*keys, "_month"])
-    return numbered.withColumn(name, F.col("_base") + F.col("_inside")).drop("_month", "_inside", "_base")
+    numbered = rows.withColumn("_inside", inside).join(base, [*keys, "_month"], "left")
+    # a row without a complete key belongs to no series; it stays, numbered within its own month
+    return numbered.withColumn(name, F.coalesce("_base", F.lit(0)) + F.col("_inside")).drop("_month", "_inside", "_base")
 
 
 def halo_blocks(df: DataFrame, seq: str, halo: int, size: int = 8192) -> DataFrame:

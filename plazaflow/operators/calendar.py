@@ -149,7 +149,7 @@ def normalised_shares(weights: DataFrame, by: list[str], value: str) -> DataFram
     """Adds `share`, the value over the sum of its group."""
     total = weights.groupBy(*by).agg(F.sum(value).alias("_total"))
     share = F.col(value).cast("double") / F.when(F.col("_total") != 0, F.col("_total")).cast("double")
-    return weights.join(total, by).withColumn("share", share).drop("_total")
+    return weights.join(total, by, "left").withColumn("share", share).drop("_total")
 
 
 def date_weather(dates: DataFrame, weather: DataFrame) -> DataFrame:

@@ -154,15 +154,14 @@ class Site:
             F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit("C"), text(F.col("o_custkey")))).alias("custaccount"),
             F.when(F.col("l_linestatus") == "O", "card").otherwise("cash").alias("paymentmode"),
             F.concat(text(date), F.lit(" 10:0"), text(F.col("l_linenumber")), F.lit(":00")).alias("createddatetime"),
-            F.concat(F.lit("d365_salesline_"), ymd(date), F.lit(".csv")).alias("_source_file"),
+            F.concat(F.lit("d365_salesline_"), ymd(date)).alias("_file"),
             (order % 50 == 0).alias("_exported_twice"),
         )
         # an export overlap: some invoices land a second time in a later file
         copies = F.when(F.col("_exported_twice"), F.array(F.lit(""), F.lit("_again"))).otherwise(F.array(F.lit("")))
         landed = once.withColumn("_copy", F.explode(copies))
-        return landed.withColumn(
-            "_source_file", F.regexp_replace("_source_file", r"\.csv$", F.concat("_copy", F.lit(".csv")))
-        ).drop("_copy", "_exported_twice")
+        return landed.withColumn("_source_file", F.concat("_file", "_copy", F.lit(".csv"))).drop(
+            "_copy", "_exported_twice", "_file")
 
     def _footfall(self) -> DataFrame:
         day = F.unix_date("d")

@@ -229,6 +229,23 @@ def _(s):
         "_source_file")
 
 
+@query("s2_master_read", f"SELECT product_id, product_code, product_name, venue_id, category, {num('unit_price_kwd')} FROM d_product")
+def _(s):
+    folder, columns = scratch(s, "master"), list(sv.MASTER_SCHEMAS["products"])
+    s.landed["master_products"].select(*columns).write.option("header", True).csv(folder)
+    return sv.cast_table(drops.read_drop(s.spark, folder, "*.csv", columns), sv.MASTER_SCHEMAS["products"]).drop("_source_file")
+
+
+@query("s11_append_results", """SELECT run_id, CASE WHEN run_id = 'run-1' THEN count(*) FILTER (WHERE booked > capacity)
+    ELSE count(*) FILTER (WHERE attended > booked) END AS violations FROM s_lesson, (VALUES ('run-1'), ('run-2')) r(run_id) GROUP BY 1""")
+def _(s):
+    wh, slots = tables.Warehouse(s.spark, scratch(s, "audit")), s.silver["lesson_slots"]
+    for run, violation in (("run-1", F.col("booked") > F.col("capacity")), ("run-2", F.col("attended") > F.col("booked"))):
+        wh.append_results("check_results", dq.stamp(dq.check_range("range", slots, violation, "lesson_slots"), run))
+    kept = wh.read_table("dq", "check_results")
+    return kept.select("run_id", F.col("actual_value").cast("bigint").alias("violations"))
+
+
 @query("s12_write_daily", "SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 def _(s):
     folder = scratch(s, "daily")
