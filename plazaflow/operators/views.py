@@ -26,14 +26,35 @@ DAY_COLS = ["date_key", "full_date", "season", "is_weekend", "is_ramadan"]
 # ---- footfall and sales
 
 def footfall_daily(footfall: DataFrame, date: DataFrame, weather: DataFrame) -> DataFrame:
-    """Week and year ago come by date, not by row offset: a missing day must not shift them."""
+    """Week and year ago come by date, not by row offset: a missing day must not shift them.
+
+    Each day hands its count to the days that look back at it, so the fact is read and
+    reduced once instead of once per self-join. A day looks back at the same month-day;
+    29 February looks back at the 28th, and nothing looks back at a 29 February.
+    """
     per_day = footfall.groupBy("date_key").agg(F.sum("count_in").alias("footfall"), *_flags_or())
     daily = per_day.join(_small(date.select(*DAY_COLS)), "date_key")
-    then = daily.select("full_date", "footfall")
-    week = then.select(F.date_add("full_date", 7).alias("full_date"), F.col("footfall").alias("footfall_week_ago"))
-    year = then.select(F.col("full_date").alias("_year_ago"), F.col("footfall").alias("footfall_year_ago"))
-    out = daily.join(week, "full_date", "left").withColumn("_year_ago", F.add_months("full_date", -12))
-    out = out.join(year, "_year_ago", "left").join(weather, "date_key", "left")
+    day, later = F.col("full_date"), F.add_months("full_date", 12)
+    leap_day = (F.date_format(day, "MMdd") == "0228") & (F.dayofmonth(F.last_day(later)) == 29)
+
+    def seen_from(at, lag: str):
+        return F.struct(at.alias("at"), F.lit(lag).alias("lag"))
+
+    spread = daily.withColumn("_seen", F.explode(F.array(
+        seen_from(day, "now"),
+        seen_from(F.date_add(day, 7), "week"),
+        seen_from(F.when(F.dayofmonth(later) == F.dayofmonth(day), later), "year"),
+        seen_from(F.when(leap_day, F.date_add(later, 1)), "year"),
+    ))).filter("_seen.at is not null")
+
+    def of(lag: str, column: str):
+        return F.max(F.when(F.col("_seen.lag") == lag, F.col(column)))
+
+    own = [*[c for c in DAY_COLS if c != "full_date"], "footfall", "has_imputed_hours", "has_corrected_hours"]
+    out = spread.groupBy(F.col("_seen.at").alias("full_date")).agg(
+        *[of("now", c).alias(c) for c in own],
+        of("week", "footfall").alias("footfall_week_ago"), of("year", "footfall").alias("footfall_year_ago"),
+    ).filter("date_key is not null").join(weather, "date_key", "left")
     return out.select(
         *DAY_COLS, "footfall", "has_imputed_hours", "has_corrected_hours", "footfall_week_ago",
         "footfall_year_ago", "temp_max_c", "temp_min_c", "dust_storm_flag", "rain_mm",
