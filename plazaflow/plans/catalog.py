@@ -11,8 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plazaflow.functions.columns import month_start, parse_mixed_dates, try_number
-from plazaflow.functions.ordering import with_rank
+from plazaflow.functions.columns import parse_mixed_dates, try_number
 from plazaflow.operators import (
     calendar as cal, dims as dm, facts as ft, footfall_analytics as fa, footfall_cleaning as fc,
     leasing_analytics as la, online_analytics as oa, quality as dq, recurring_analytics as ra, silver as sv,
@@ -776,9 +775,6 @@ query("w19_footfall_gate_hour_monthly", f"SELECT * REPLACE ({text('month_start')
 
 # ---- quality
 
-RESULT = "check_name, check_type, schema_name, table_name, CASE WHEN {ok} THEN 'pass' ELSE 'fail' END AS status, {expected} AS expected_value, CAST({actual} AS VARCHAR) AS actual_value, {details} AS details"
-
-
 def result_sql(name: str, kind: str, schema: str, table: str, ok: str, expected: str, actual: str, details: str = "CAST(NULL AS VARCHAR)") -> str:
     return (f"SELECT '{name}' AS check_name, '{kind}' AS check_type, '{schema}' AS schema_name, '{table}' AS table_name, "
             f"CASE WHEN {ok} THEN 'pass' ELSE 'fail' END AS status, {expected} AS expected_value, "
@@ -807,7 +803,7 @@ LESSON_UNIQUE_SQL = count_sql("lesson_unique", "uniqueness", "gold", "fact_lesso
 
 @query("q2_unique", f"{UNIQUE_SQL} UNION ALL {LESSON_UNIQUE_SQL}")
 def _(s):
-    kept = dq.check_unique("pos_sales_lines_dedup_correct", s.silver["pos_sales_lines"], dq.POS_KEY, ~F.col("is_duplicate"),
+    kept = dq.check_unique("pos_sales_lines_dedup_correct", s.silver["pos_sales_lines"], sv.POS_DUPLICATE_KEY, ~F.col("is_duplicate"),
                            "silver", "pos_sales_lines")
     return kept.unionByName(dq.check_unique("lesson_unique", s.facts["fact_lesson_slots"], ["lesson_id"], table="fact_lesson_slots"))
 

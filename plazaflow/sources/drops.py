@@ -54,28 +54,43 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", "length")
 
 
-def _fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            digest, head = hashlib.md5(), b""
-            with system.open_input_stream(inner) as stream:
-                while chunk := stream.read(CHUNK):
-                    if b"\n" not in head:
-                        head += chunk.split(b"\n", 1)[0] + (b"\n" if b"\n" in chunk else b"")
-                    digest.update(chunk)
-            rows.append((path, path.rsplit("/", 1)[-1], digest.hexdigest(), head.decode("utf-8-sig").strip()))
-        yield pd.DataFrame(rows, columns=["path", "file_name", "checksum", "header"])
+def _opener():
+    """Opens a path as a byte stream inside a task. Returned as an inner function, like the task
+    functions below, so that it travels with the job and workers need not have this package."""
+
+    def open_stream(path: str):
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"))
+        if "://" not in path:
+            return fs.LocalFileSystem().open_input_stream(path)
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return system.open_input_stream(inner)
+
+    return open_stream
 
 
 def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
     """path, file_name, md5 checksum and header line per file; tasks stream the files."""
-    files = list_files(spark, pattern)
+    open_stream, chunk_size = _opener(), CHUNK
+
+    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                digest, head, complete = hashlib.md5(), b"", False
+                with open_stream(path) as stream:
+                    while chunk := stream.read(chunk_size):
+                        if not complete:
+                            line, newline, _ = chunk.partition(b"\n")
+                            head, complete = head + line, bool(newline)
+                        digest.update(chunk)
+                rows.append((path, path.rsplit("/", 1)[-1], digest.hexdigest(), head.decode("utf-8-sig").strip()))
+            yield pd.DataFrame(rows, columns=["path", "file_name", "checksum", "header"])
+
     width = max(1, spark.sparkContext.defaultParallelism)
-    return files.repartition(width).mapInPandas(_fingerprint, FILE_SCHEMA)
+    return list_files(spark, pattern).repartition(width).mapInPandas(fingerprint, FILE_SCHEMA)
 
 
 def _text(name: str) -> Column:
@@ -138,17 +153,18 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     underscore, so one task streams it; it has a line per filing, no sales rows."""
     path = f"{folder.rstrip('/')}/{MANIFEST}"
 
+    open_stream = _opener()
+
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import csv, fs, string
+        from pyarrow import csv, string
 
+        names = ["filename", "submitted_date"]
+        as_text = csv.ConvertOptions(
+            column_types={n: string() for n in names}, include_columns=names, strings_can_be_null=True
+        )
         for batch in batches:
             for one in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(one) if ":" in one else (fs.LocalFileSystem(), one)
-                names = ["filename", "submitted_date"]
-                as_text = csv.ConvertOptions(
-                    column_types={n: string() for n in names}, include_columns=names, strings_can_be_null=True
-                )
-                with system.open_input_stream(inner) as raw, csv.open_csv(raw, convert_options=as_text) as reader:
+                with open_stream(one) as raw, csv.open_csv(raw, convert_options=as_text) as reader:
                     for part in reader:
                         yield part.to_pandas()
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plazaflow.operators import quality
+from plazaflow.operators.silver import POS_DUPLICATE_KEY
 from plazaflow.plans import warehouse
 from plazaflow.sources import drops, exports, registry as reg
 from plazaflow.sources.tables import Warehouse, read_daily, write_daily
@@ -153,7 +154,7 @@ def test_unchanged_files_are_skipped_and_a_changed_file_replaces_its_rows(built)
 def test_silver_gate_stops_the_build(spark, built):
     wh, *_ = built
     lines = wh.read_table("silver", "pos_sales_lines").withColumn("is_duplicate", F.lit(False))
-    checks = quality.stamp(quality.check_unique("dedup", lines, quality.POS_KEY, ~F.col("is_duplicate"), "silver", "x"), "r")
+    checks = quality.stamp(quality.check_unique("dedup", lines, POS_DUPLICATE_KEY, ~F.col("is_duplicate"), "silver", "x"), "r")
     assert quality.has_critical_failures(checks)
     assert not quality.has_critical_failures(checks.filter("status = 'pass'"))
 
