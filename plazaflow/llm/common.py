@@ -44,9 +44,10 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def packed(docs: DataFrame, **extra: Column) -> DataFrame:
-    """The whole input row as one struct, so that no other name can clash with its columns."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in extra.items()])
+def packed(docs: DataFrame, without: str | None = None, **extra: Column) -> DataFrame:
+    """The input row as one struct, so that no other name can clash with its columns; `without` a column that travels beside it."""
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != without]
+    return docs.select((F.struct(*columns) if columns else F.struct(F.lit(0).alias("_"))).alias("row"), *[c.alias(n) for n, c in extra.items()])
 
 
 def unpacked(df: DataFrame, columns: list[str], **replace: Column) -> DataFrame:

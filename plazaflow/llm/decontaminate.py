@@ -229,7 +229,7 @@ def _spans(hit: np.ndarray) -> list[int]:
 def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, phrase_words: int = PHRASE_WORDS, shard_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Words of documents inside an occurrence of a benchmark window.
 
-    Returns row (the input row), text (binary), n_words, spans (word offsets of merged hits: start,
+    Returns row (the input row without its text), text (binary), n_words, spans (word offsets of merged hits: start,
     end, start, end ...) and items (the item_ids, as strings, with a window in the document). An item of fewer words
     than a window is one window; null or empty texts have no words and give none. Items that
     repeat an item_id are one item; one without an id is called ''. Documents may repeat, and each is searched.
@@ -237,7 +237,7 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ph
     rough = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-rough // (2 * phrase_words)))  # a word and its gap take two bytes at least
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text"))
-    found = packed(docs, text=F.col("text").cast("binary")).withColumn("n_words", F.lit(0).cast("long")).withColumn(
+    found = packed(docs, without="text", text=F.col("text").cast("binary")).withColumn("n_words", F.lit(0).cast("long")).withColumn(
         "spans", F.lit(None).cast("array<int>")).withColumn("items", F.lit(None).cast("array<string>"))
     kind = found.schema["row"].dataType.simpleString()
     for group in range(groups):
@@ -297,10 +297,10 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [cut_words(t.as_py(), s) if s else None for t, s in zip(batch.column(1), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["row", "cut"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["row", "text", "cut"])
 
-    cut = found.mapInArrow(run, f"row {kind}, cut binary")
-    text = F.coalesce(F.col("cut").cast("string"), F.col("row.text"))
+    cut = found.mapInArrow(run, f"row {kind}, text binary, cut binary")
+    text = F.coalesce("cut", "text").cast("string")
     changed = {"text": text}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)

@@ -177,23 +177,22 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops the named lines of each text; the packed row passes through untouched."""
+    """Drops the named lines of each text; `kept` is null where nothing goes. The packed row and the text pass untouched."""
     for batch in batches:
         kept, n_lines, n_dropped, shas = [], [], [], []
         for text, drop in zip(batch.column(1), batch.column(2)):
-            lines, gone = (text.as_py() or b"").split(b"\n"), drop.as_py()
+            text, gone = text.as_py() or b"", drop.as_py()
+            lines = text.split(b"\n")
+            n_lines.append(len(lines))
             if gone:
                 gone = {struct.pack("<qq", d["h1"], d["h2"]) for d in gone}
-                stay = [x for x in lines if _hash(line_key(x)) not in gone]
-            else:
-                stay = lines
-            kept.append(b"\n".join(stay))
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(stay))
-            shas.append(hashlib.sha256(kept[-1]).hexdigest())
+                lines = [x for x in lines if _hash(line_key(x)) not in gone]
+            n_dropped.append(n_lines[-1] - len(lines))
+            kept.append(b"\n".join(lines) if n_dropped[-1] else None)
+            shas.append(hashlib.sha256(text if kept[-1] is None else kept[-1]).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(kept, pa.binary()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(shas, pa.string())],
-            names=["row", "kept", "n_lines", "n_dropped", "kept_sha256"])
+            [batch.column(0), batch.column(1), pa.array(kept, pa.binary()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()),
+             pa.array(shas, pa.string())], names=["row", "text", "kept", "n_lines", "n_dropped", "kept_sha256"])
 
 
 def build_index(keys: DataFrame, min_docs: int) -> tuple[DataFrame, int]:
@@ -211,14 +210,15 @@ def build_index(keys: DataFrame, min_docs: int) -> tuple[DataFrame, int]:
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> DataFrame:
     """Drops lines found in at least `min_docs` documents, but in the largest doc_id holding them.
 
-    Returns row (the input row, any columns), kept (binary), n_lines, n_dropped, kept_sha256.
+    Returns row (the input row without its text), text (binary, as it was), kept (the new text, null
+    where nothing goes), n_lines, n_dropped, kept_sha256.
     A null or empty text is one empty line. Rows with one doc_id are one document, and so are
     all rows without a doc_id, which count as the smallest id. A repeated line stays or goes
     with all its copies. An empty table gives an empty result.
     """
     if not 1 <= min_docs < 2**16:
         raise ValueError("min_docs must fit the count array")
-    rows = packed(docs, doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), copy=F.xxhash64("text"), text=F.col("text").cast("binary"))
+    rows = packed(docs, without="text", doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), copy=F.xxhash64("text"), text=F.col("text").cast("binary"))
     lines = written(
         rows.select("doc", "copy", "text").mapInArrow(lambda b: _line_hashes(b, min_chars), "doc long, copy long, h1 long, h2 long"), "lines")
     keys = written(lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper")), "line-keys")
@@ -241,4 +241,4 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
     drops = hits.groupBy("doc", "copy").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
     kind = rows.schema["row"].dataType.simpleString()
     return rows.join(drops, ["doc", "copy"], "left").select("row", "text", "gone").mapInArrow(
-        _cut, f"row {kind}, kept binary, n_lines long, n_dropped long, kept_sha256 string")
+        _cut, f"row {kind}, text binary, kept binary, n_lines long, n_dropped long, kept_sha256 string")

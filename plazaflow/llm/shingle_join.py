@@ -291,7 +291,8 @@ def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, perc
                  pa.array([texts[i] for i in keep], pa.binary())], names=["c1", "c2", "text"])
 
     texts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(once, "c1 long, c2 long, text binary")
-    held = placed.select("c1", "c2", "cid", "family", "slot", "block", "blocks").join(texts, ["c1", "c2"])
+    # the same plan at every size: texts are shuffled also where the members would fit a broadcast
+    held = placed.select("c1", "c2", "cid", "family", "slot", "block", "blocks").hint("merge").join(texts, ["c1", "c2"])
     held = written(held.groupBy("cid", "family", "slot", "block", "blocks").agg(F.first("text").alias("text")), "family-texts")
     schema = "a long, b long"
     # a large family: each block with itself and with the first block
@@ -365,6 +366,6 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     keeper = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("k"), F.max("n_shingles").alias("n"))
     kept = keeper.select("k.rid", (F.col("n") == 0).alias("all")).join(found.select("rid", "key", "copy"), "rid").groupBy("key", "copy").agg(
         F.max("all").alias("all"))
-    rows = packed(docs, key=_id_key(F.col("doc_id")), copy=F.xxhash64("text"))
+    rows = packed(docs, without="text", text=F.col("text"), key=_id_key(F.col("doc_id")), copy=F.xxhash64("text"))
     stays = rows.join(kept, ["key", "copy"]).withColumn("nth", F.row_number().over(Window.partitionBy("key", "copy").orderBy("key")))
-    return unpacked(stays.where("all OR nth = 1"), docs.columns)
+    return unpacked(stays.where("all OR nth = 1"), docs.columns, text=F.col("text"))

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plazaflow.llm.common import packed, unpacked
 
 SAMPLE = 8192  # labelled documents to fit on, those with the smallest hash of their id
-SAMPLE_WORDS = 4096  # different words of such a document that are used, by smallest hash
-DIMENSIONS = 2**20
+SAMPLE_WORDS = 8192  # different features of such a document that are used, by smallest hash
+DIMENSIONS = 2**22  # of the hashed features
+LIMIT = 0.35  # of the expected grade, from which a text is rejected
+PREFIXES = (4, 5, 6)  # beginnings of words that are features too, since inflected languages have few whole words in common
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -27,14 +29,23 @@ def words(text: str | None) -> set[str]:
     return set(_WORD.findall(text.lower())) if text else set()
 
 
-class _Ids(dict):
-    """Word to feature; forgets all when it has grown large."""
+class _Features(dict):
+    """Word to its features, or to those of them in `only`; forgets all when it has grown large."""
 
-    def __missing__(self, word: str) -> int:
+    def __init__(self, only: set[int] | None = None):
+        self.only = only
+
+    def __missing__(self, word: str) -> list[int]:
         if len(self) > 500_000:
             self.clear()
-        self[word] = i = xxhash.xxh64_intdigest(word) % DIMENSIONS
-        return i
+        parts = [word, *(f"{word[:k]}-" for k in PREFIXES if len(word) > k)]
+        ids = [xxhash.xxh64_intdigest(p) % DIMENSIONS for p in parts]
+        self[word] = ids = [i for i in ids if self.only is None or i in self.only]
+        return ids
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The different features of a text, rising."""
+        return np.array(sorted({i for w in words(text) for i in self[w]}), np.int64)
 
 
 @dataclass
@@ -50,50 +61,77 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 300, rate: float = 0.3, l1: float = 2e-4, least_docs: int = 4) -> OrdinalModel:
-    """Proximal adaptive gradient descent on the mean log-likelihood, with an L1 pull on the weights.
-
-    rows are arrays of feature ids. Thresholds are a first one and positive steps. Words in fewer
-    than `least_docs` rows are left out: they can tell nothing about others.
+def _loss(x: np.ndarray, col: np.ndarray, of: np.ndarray, grades: np.ndarray, words_: int, l2: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with an L2 pull, and its gradient; x holds weights, the first threshold and log steps."""
+    n, i, w, steps = len(grades), np.arange(len(grades)), x[:words_], np.exp(x[words_ + 1:])
+    theta = x[words_] + np.concatenate([[0.0], np.cumsum(steps)])
+    above = _sigmoid(np.bincount(of, w[col], n)[:, None] - theta[None, :])
+    edge = np.zeros((n, 1))
+    bounds, slope = np.hstack([edge + 1, above, edge]), np.hstack([edge, above * (1 - above), edge])
+    p = np.maximum(bounds[i, grades] - bounds[i, grades + 1], 1e-12)
+    up, down = slope[i, grades] / p, slope[i, grades + 1] / p
+    by_theta = (np.bincount(grades, up, len(theta) + 2) - np.bincount(grades + 1, down, len(theta) + 2))[1:-1] / n
+    by_step = np.cumsum(by_theta[::-1])[::-1][1:] * steps
+    g = np.concatenate([np.bincount(col, (down - up)[of], words_) / n + l2 * w, [by_theta.sum()], by_step])
+    return float(-np.log(p).mean() + l2 / 2 * w @ w), g
+
+
+def _minimized(f, x: np.ndarray, rounds: int = 200, memory: int = 10) -> np.ndarray:
+    """Limited-memory BFGS with backtracking."""
+    (value, g), pairs = f(x), []
+    for _ in range(rounds):
+        if np.abs(g).max() < 1e-6:
+            break
+        q, past = g.copy(), []
+        for s, y in reversed(pairs):
+            a = s @ q / (s @ y)
+            q -= a * y
+            past.append(a)
+        if pairs:
+            q *= pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ pairs[-1][1])
+        for (s, y), a in zip(pairs, reversed(past)):
+            q += (a - y @ q / (s @ y)) * s
+        step = 1.0 if pairs else 1 / max(np.abs(g).max(), 1e-6)
+        while step > 1e-10:
+            new = x - step * q
+            found, h = f(new)
+            if found <= value - 1e-4 * step * (q @ g):
+                break
+            step /= 2
+        else:
+            break
+        if (new - x) @ (h - g) > 1e-12:
+            pairs = [*pairs, (new - x, h - g)][-memory:]
+        x, value, g = new, found, h
+    return x
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, least_z: float = 3.0, least_docs: int = 4, l2: float = 1e-4) -> OrdinalModel:
+    """The ordered model on the words that tell grades apart.
+
+    rows are arrays of feature ids. A word is used when it stands in `least_docs` rows and their
+    mean residual under the model without words is `least_z` standard errors from 0.
     """
-    top = max(int(grades.max()), 1) if len(grades) else 1
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n, top = len(rows), max(int(grades.max()), 1) if len(grades) else 1
+    flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
+    of = np.repeat(np.arange(n), [len(r) for r in rows])
+    # the model without words: thresholds at the (smoothed) shares of the grades above
+    above = np.array([((grades > k).sum() + 0.5) / (n + 1) for k in range(top)])
+    above = np.minimum(above, above[0] * 0.98 ** np.arange(top))
+    theta = np.log((1 - above) / above)
+    share = np.concatenate([[1.0], above, [0.0]])
+    slope = np.concatenate([[0.0], above * (1 - above), [0.0]])
+    residual = ((slope[:-1] - slope[1:]) / np.maximum(share[:-1] - share[1:], 1e-12))[grades]
     used, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = count >= least_docs
-    seat = np.cumsum(keep) - 1
-    sel = keep[inverse] if len(flat) else np.zeros(0, bool)
-    col, of, n = seat[inverse[sel]] if len(flat) else flat, of[sel], len(rows)
-    w, first, steps = np.zeros(int(keep.sum())), 2.0, np.zeros(top - 1)
-    share = max(1.0, float((grades > 0).sum())) / max(n, 1)
-    first = np.log((1 - share) / share) if 0 < share < 1 else 0.0
-    sum_w, sum_t, sum_s = np.full(len(w), 1e-8), 1e-8, np.full(top - 1, 1e-8)
-    for _ in range(epochs if n else 0):
-        theta = first + np.concatenate([[0.0], np.cumsum(np.exp(steps))])
-        score = np.bincount(of, w[col], n)
-        above = _sigmoid(score[:, None] - theta[None, :])
-        bounds = np.hstack([np.ones((n, 1)), above, np.zeros((n, 1))])
-        i = np.arange(n)
-        p = np.maximum(bounds[i, grades] - bounds[i, grades + 1], 1e-12)
-        slope = np.hstack([np.zeros((n, 1)), above * (1 - above), np.zeros((n, 1))])
-        up, down = slope[i, grades] / p, slope[i, grades + 1] / p
-        g = np.bincount(col, (down - up)[of], len(w)) / n
-        g_theta = np.zeros(top + 2)
-        np.add.at(g_theta, grades, up / n)
-        np.add.at(g_theta, grades + 1, -down / n)
-        g_theta = g_theta[1:-1]
-        g_steps = np.cumsum(g_theta[::-1])[::-1][1:] * np.exp(steps)
-        sum_w += g * g
-        pace = rate / np.sqrt(sum_w)
-        w = w - pace * g
-        w = np.sign(w) * np.maximum(np.abs(w) - pace * l1, 0)
-        sum_t += g_theta.sum() ** 2
-        first -= rate * g_theta.sum() / np.sqrt(sum_t)
-        sum_s += g_steps**2
-        steps = np.clip(steps - rate * g_steps / np.sqrt(sum_s), -4, 4)
+    z = np.bincount(inverse, residual[of], len(used)) / np.sqrt(count * max(residual.var(), 1e-12)) if n else np.zeros(0)
+    keep = (count >= least_docs) & (np.abs(z) >= least_z)
+    seat, here = np.cumsum(keep) - 1, keep[inverse] if len(flat) else np.zeros(0, bool)
+    col, k = seat[inverse[here]] if len(flat) else flat, int(keep.sum())
+    start = np.concatenate([np.zeros(k), theta[:1], np.log(np.maximum(np.diff(theta), 1e-2))])
+    x = _minimized(lambda v: _loss(v, col, of[here], grades, k, l2), start) if n else start
     weights = np.zeros(DIMENSIONS, np.float32)
-    weights[used[keep]] = w
-    return OrdinalModel(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(steps))]))
+    weights[used[keep]] = x[:k]
+    return OrdinalModel(weights, x[k] + np.concatenate([[0.0], np.cumsum(np.exp(x[k + 1:]))]))
 
 
 def severity_grade() -> Column:
@@ -102,9 +140,9 @@ def severity_grade() -> Column:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids = _Ids()
+    features = _Features()
     for batch in batches:
-        feats = [np.unique([ids[w] for w in words(t.as_py())]).astype(np.int32)[:SAMPLE_WORDS] for t in batch.column(1)]
+        feats = [features.of(t.as_py())[:SAMPLE_WORDS].astype(np.int32) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feats, pa.list_(pa.int32()))], names=["grade", "features"])
 
 
@@ -126,10 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, sampl
     return fit([table[i] for i in order], np.array([got.column("grade")[i].as_py() for i in order], np.int64))
 
 
-def grade_texts(docs: DataFrame, model: OrdinalModel, limit: float = 0.5) -> DataFrame:
+def grade_texts(docs: DataFrame, model: OrdinalModel, limit: float = LIMIT) -> DataFrame:
     """Adds severity (expected grade), grade (most thresholds more likely passed than not) and toxic (severity >= limit).
 
-    Returns row (the input row), severity, grade, toxic. A null or empty text has no words, so its
+    Returns row (the input row without its text), text, severity, grade, toxic. A null or empty text has no words, so its
     score is 0. Each row is judged by itself, by all its words.
     """
     spark = docs.sparkSession
@@ -140,20 +178,21 @@ def grade_texts(docs: DataFrame, model: OrdinalModel, limit: float = 0.5) -> Dat
         at, values, thresholds = sent.value
         local = OrdinalModel(np.zeros(DIMENSIONS, np.float32), thresholds)
         local.weights[at] = values
-        ids = _Ids()
+        features = _Features(set(at.tolist()))
         for batch in batches:
-            scores = np.array([float(local.weights[np.unique([ids[w] for w in words(t.as_py())]).astype(np.int64)].sum()) for t in batch.column(1)], np.float64)
+            scores = np.array([float(local.weights[features.of(t.as_py())].sum()) for t in batch.column(1)], np.float64)
             severity = local.severity(scores) if len(scores) else scores
             grade = (scores[:, None] > thresholds[None, :]).sum(axis=1) if len(scores) else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.round(severity, 6)), pa.array(grade.astype(np.int32))], names=["row", "severity", "grade"])
+                [batch.column(0), batch.column(1), pa.array(np.round(severity, 6)), pa.array(grade.astype(np.int32))],
+                names=["row", "text", "severity", "grade"])
 
-    rows = packed(docs, text=F.col("text"))
+    rows = packed(docs, without="text", text=F.col("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(score, f"row {kind}, severity double, grade int").withColumn("toxic", F.col("severity") >= limit)
+    return rows.mapInArrow(score, f"row {kind}, text string, severity double, grade int").withColumn("toxic", F.col("severity") >= limit)
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The documents that the model, trained on the labels, does not reject; their columns as they are."""
     graded = grade_texts(docs, train(docs, labels), limit)
-    return unpacked(graded.where(~F.col("toxic")), docs.columns)
+    return unpacked(graded.where(~F.col("toxic")), docs.columns, text=F.col("text"))

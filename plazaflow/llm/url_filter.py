@@ -48,7 +48,7 @@ def _strength(groups: DataFrame, least: float = 1.0, most: float = 1000.0) -> Da
     E[(bad - n m)^2] = n m (1-m) (1 + (n-1) rho), and a beta of strength s has rho = 1 / (s + 1).
     """
     v = F.col("n") * F.col("m") * (1 - F.col("m"))
-    over = F.sum(F.pow(F.col("bad") - F.col("n") * F.col("m"), 2) - v) / F.sum(v * (F.col("n") - 1))
+    over = F.try_divide(F.sum(F.pow(F.col("bad") - F.col("n") * F.col("m"), 2) - v), F.sum(v * (F.col("n") - 1)))
     rho = F.greatest(F.coalesce(over, F.lit(0.0)), F.lit(1e-9))
     return groups.agg(F.least(F.greatest(1 / rho - 1, F.lit(least)), F.lit(most)).alias("s"))
 
