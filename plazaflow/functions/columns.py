@@ -81,3 +81,13 @@ def lookup(facts: DataFrame, dim: DataFrame, on: Column | str | list[str], how:
     """Key lookup. No broadcast hint: dimensions grow with the business, so
     Catalyst and AQE choose from the measured size, and AQE splits hot keys."""
     return facts.join(dim, on, how)
+
+
+def lookup_known(facts: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+    """Left lookup by a text key that many rows may lack.
+
+    Rows without the key are spread over keys that no dimension row has, so they never
+    gather in the one partition of the null key."""
+    spread = F.concat(F.lit("\0"), F.xxhash64(*[c for c, kind in facts.dtypes if not kind.startswith("map")]).cast("string"))
+    keyed = facts.withColumn("_lookup", F.coalesce(F.col(key), spread))
+    return keyed.join(dim.withColumnRenamed(dim_key or key, "_lookup"), "_lookup", "left").drop("_lookup")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from plazaflow.functions.columns import lookup
+from plazaflow.functions.columns import lookup, lookup_known
 from plazaflow.functions.frames import literal_frame
 from plazaflow.functions.ordering import with_sequence
 from plazaflow.operators import calendar as cal
@@ -23,6 +23,7 @@ def type1_dim(silver: DataFrame, cols: list[str], key: str, name: str) -> DataFr
     return with_surrogate(silver.select(*cols), [key], name)
 
 
+# Columns of the landed master data.
 VENUE_COLS = ["venue_id", "venue_name", "venue_type", "opened_date", "description"]
 GATE_COLS = ["gate_id", "gate_name", "description"]
 STABLE_COLS = ["stable_id", "box_no", "size_category", "status"]
@@ -55,7 +56,7 @@ def resolve_member(contracts: DataFrame) -> DataFrame:
     shuffle and the join side of a very common phone can be split.
     """
     owner = phone_owners(contracts).select("phone_number", F.col("_low_member").alias("_owner"))
-    joined = contracts.join(owner, "phone_number", "left")
+    joined = lookup_known(contracts, owner, "phone_number")
     return joined.withColumn("canonical_member_id", F.coalesce("_owner", "member_id")).drop("_owner")
 
 
@@ -80,23 +81,39 @@ def dim_tenant(versions: DataFrame) -> DataFrame:
     return with_surrogate(df, ["tenant_id", "valid_from"], "tenant_key")
 
 
+def place_changes(versions: DataFrame, changes: DataFrame) -> DataFrame:
+    """Late-arriving changes (tenant_id, effective_from, category), each with what becomes of it in `outcome`.
+
+    `split`: a version begins before it and still holds it; `corrected`: a version begins that very
+    day; `rejected`: no version of the tenant holds the day. A left join, so no change is lost.
+    Of several changes of a tenant on one day the smallest category counts, the others are rejected.
+    """
+    c = changes.groupBy("tenant_id", "effective_from").agg(F.sort_array(F.collect_list("category")).alias("_categories"))
+    c = c.select("tenant_id", "effective_from", F.posexplode("_categories").alias("_nth", "category"))
+    v = versions.select("tenant_id", "valid_from", "valid_to").alias("v")
+    holds = (F.col("v.valid_from") <= F.col("c.effective_from")) & (
+        F.col("v.valid_to").isNull() | (F.col("c.effective_from") <= F.col("v.valid_to")))
+    met = c.alias("c").join(v, (F.col("v.tenant_id") == F.col("c.tenant_id")) & holds, "left")
+    outcome = F.when(F.col("v.valid_from").isNull() | (F.col("_nth") > 0), "rejected").when(
+        F.col("v.valid_from") == F.col("c.effective_from"), "corrected").otherwise("split")
+    return met.select("c.tenant_id", "c.effective_from", "c.category", F.col("v.valid_from").alias("of_version"), outcome.alias("outcome"))
+
+
 def rebuild_scd2(versions: DataFrame, changes: DataFrame) -> DataFrame:
-    """Late-arriving changes: tenant_id, effective_from, category.
+    """The versions after late-arriving changes; `place_changes` says which were rejected.
 
-    The version holding effective_from is split there. A tenant has a few versions,
-    so ordering them within the tenant is a small window.
+    The version holding a change is split there, or corrected where it begins that day. A
+    tenant has a few versions, so ordering them within the tenant is a small window.
     """
     attrs = [c for c in versions.columns if c not in ("tenant_key", "valid_from", "valid_to", "is_current", "category")]
-    inside = (F.col("c.effective_from") > F.col("v.valid_from")) & (
-        F.col("v.valid_to").isNull() | (F.col("c.effective_from") <= F.col("v.valid_to"))
-    )
-    late = versions.alias("v").join(
-        changes.alias("c"), (F.col("v.tenant_id") == F.col("c.tenant_id")) & inside
-    ).select(
-        *[F.col(f"v.{a}") for a in attrs], F.col("c.category"),
-        F.col("c.effective_from").alias("valid_from"), F.col("v.valid_to"),
-    )
-    both = versions.select(*attrs, "category", "valid_from", "valid_to").unionByName(late)
+    placed = place_changes(versions, changes).where("outcome <> 'rejected'").select(
+        F.col("tenant_id").alias("_tenant"), "of_version", "effective_from", F.col("category").alias("_category"), "outcome")
+    own = (F.col("tenant_id") == F.col("_tenant")) & (F.col("valid_from") == F.col("of_version"))
+    fixed = versions.join(placed.where("outcome = 'corrected'"), own, "left").withColumn(
+        "category", F.coalesce("_category", "category")).select(*attrs, "category", "valid_from", "valid_to")
+    late = versions.join(placed.where("outcome = 'split'"), own).select(
+        *attrs, F.col("_category").alias("category"), F.col("effective_from").alias("valid_from"), "valid_to")
+    both = fixed.unionByName(late)
     upcoming = F.lead("valid_from").over(Window.partitionBy("tenant_id").orderBy("valid_from"))
     cut = both.withColumn("_next", F.date_sub(upcoming, 1)).withColumn(
         "valid_to", F.least(F.col("valid_to"), F.col("_next"))
@@ -105,6 +122,7 @@ def rebuild_scd2(versions: DataFrame, changes: DataFrame) -> DataFrame:
     return with_surrogate(cut, ["tenant_id", "valid_from"], "tenant_key")
 
 
+# Configuration blocks and the dimension columns they fill.
 SPATIAL = [
     # (configuration block, dimension, natural key, columns)
     ("gates", "dim_gate", "gate_id", ["gate_label", "zone", "primary_venue_served"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from plazaflow.functions.columns import lookup, month_start
+from plazaflow.functions.columns import lookup, lookup_known, month_start
 from plazaflow.functions.frames import literal_frame
 from plazaflow.operators.calendar import union_all
 from plazaflow.operators.dims import resolve_member
@@ -88,8 +88,8 @@ def fact_bookings(silver: Tables, dims: Tables, crosswalk: DataFrame) -> DataFra
     df = lookup(df, crosswalk, F.col("product_code") == F.col("family_code")).drop("product_code")
     product = _keys(dims, "dim_product", "product_key", "product_code")
     df = lookup(df, product, F.col("sku_code") == F.col("product_code"))
-    df = lookup(df, _keys(dims, "dim_channel", "channel_key", "channel_name"), F.col("channel") == F.col("channel_name"))
-    df = lookup(df, _keys(dims, "dim_customer", "customer_key", "customer_id"), "customer_id")
+    df = lookup_known(df, _keys(dims, "dim_channel", "channel_key", "channel_name"), "channel", "channel_name")
+    df = lookup_known(df, _keys(dims, "dim_customer", "customer_key", "customer_id"), "customer_id")
     return df.select(
         "booking_id", "date_key", "product_key", "channel_key", "customer_key", "qty", "amount_kwd", "is_cancelled"
     )
@@ -145,7 +145,7 @@ def fact_membership_months(contracts: DataFrame, dims: Tables) -> DataFrame:
     member = dims["dim_member"].select("member_key", F.col("member_id").alias("canonical_member_id"))
     df = lookup(df, member, "canonical_member_id")
     df = lookup(df, _keys(dims, "dim_venue", "venue_key", "venue_id"), "venue_id")
-    df = lookup(df, _keys(dims, "dim_stable", "stable_key", "stable_id"), "stable_id")
+    df = lookup_known(df, _keys(dims, "dim_stable", "stable_key", "stable_id"), "stable_id")
     df = df.crossJoin(F.broadcast(span))  # one row
     df = with_contract_flags(explode_contract_months(df, F.col("_from"), F.col("_to")))
     df = lookup(df, _dates(dims), F.col("month_date") == F.col("full_date"))
@@ -180,13 +180,14 @@ def rejects(silver: Tables, dims: Tables, crosswalk: DataFrame) -> DataFrame:
     """What the fact builds leave out or cannot resolve: source, reason, value, row_count."""
     dates = _dates(dims)
 
-    def report(df: DataFrame, source: str, reason: str, value: Column) -> DataFrame:
+    def report(df: DataFrame, source: str, reason: str, value: Column, rows: Column = F.lit(1)) -> DataFrame:
         return df.groupBy(F.lit(source).alias("source"), F.lit(reason).alias("reason"),
-                          value.cast("string").alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
+                          value.cast("string").alias("value")).agg(F.sum(rows).cast("bigint").alias("row_count"))
 
     sales = _unique_sales(silver).select("invoice_date")
     late_sales = sales.join(dates, F.col("invoice_date") == F.col("full_date"), "left_anti")
-    counts = silver["footfall_hourly"].select("gate_id")
+    # an unknown gate is judged on its count, not on every row
+    counts = silver["footfall_hourly"].groupBy("gate_id").agg(F.count(F.lit(1)).alias("_rows"))
     no_gate = counts.join(dims["dim_gate"].select("gate_id"), "gate_id", "left_anti")
     filings = silver["tenant_sales_monthly"]
     no_version = join_version_asof(
@@ -197,7 +198,7 @@ def rejects(silver: Tables, dims: Tables, crosswalk: DataFrame) -> DataFrame:
     no_family = bookings.join(crosswalk, F.col("product_code") == F.col("family_code"), "left_anti")
     return union_all([
         report(late_sales, "pos_sales_lines", "date outside calendar", F.lit(None)),
-        report(no_gate, "footfall_hourly", "unknown gate", F.col("gate_id")),
+        report(no_gate, "footfall_hourly", "unknown gate", F.col("gate_id"), F.col("_rows")),
         report(no_version, "tenant_sales_monthly", "no tenant version", F.lit(None)),
         report(no_family, "web_bookings", "product code without family", F.col("product_code")),
         report(late_bookings, "web_bookings", "date outside calendar", F.lit(None)),

@@ -55,6 +55,12 @@ def conform_alias(df: DataFrame, aliases: DataFrame) -> DataFrame:
     return joined.withColumn("_dq_flags", marks).drop("alias", "alias_gate_id")
 
 
+def split_keyless(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of a series, and rows that lack a part of the key: these belong to no series and are never cleaned."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.filter(whole), df.filter(~whole)
+
+
 def _fill_gaps(keys: list[str], cols: list[str], half: int):
     """Streams over gaps in series order. Only the last fills are remembered, so a
     long outage costs no memory; a new chain starts with nothing remembered."""
@@ -81,7 +87,13 @@ def _fill_gaps(keys: list[str], cols: list[str], half: int):
     return run
 
 
-def impute_series(
+def impute_series(df: DataFrame, keys: list[str] = SERIES, **options) -> DataFrame:
+    """`impute_keyed` for the rows of a series; rows that lack a part of the key stay as they are, unflagged."""
+    keyed, keyless = split_keyless(df, keys)
+    return impute_keyed(keyed, keys, **options).unionByName(keyless.withColumn("is_imputed", F.lit(False)))
+
+
+def impute_keyed(
     df: DataFrame, keys: list[str] = SERIES, cols: list[str] = COUNTS,
     order: str = "footfall_date", half: int = 7, block_rows: int = 8192,
 ) -> DataFrame:
@@ -126,7 +138,13 @@ def impute_series(
     return joined.drop("_seq", *[f"_fill_{c}" for c in cols])
 
 
-def correct_outliers(
+def correct_outliers(df: DataFrame, keys: list[str] = [*SERIES, "is_weekend"], **options) -> DataFrame:
+    """`correct_keyed` for the rows of a series; rows that lack a part of the key stay as they are, unflagged."""
+    keyed, keyless = split_keyless(df, keys)
+    return correct_keyed(keyed, keys, **options).unionByName(keyless.withColumn("is_outlier_corrected", F.lit(False)))
+
+
+def correct_keyed(
     df: DataFrame, keys: list[str] = [*SERIES, "is_weekend"], cols: list[str] = COUNTS,
     order: str = "footfall_date", rows: int = 61, min_rows: int = 15, ratio: float = 1.5,
     block_rows: int = 8192,
@@ -161,8 +179,10 @@ def to_counts(df: DataFrame, cols: list[str] = COUNTS) -> DataFrame:
 
 
 def footfall_silver(raw: DataFrame, aliases: DataFrame, weekend_codes: list[str]) -> DataFrame:
-    df = conform_alias(footfall_conform(raw, weekend_codes), aliases)
-    df = to_counts(correct_outliers(impute_series(df)))
+    # keyless rows part once, before both steps
+    df, keyless = split_keyless(conform_alias(footfall_conform(raw, weekend_codes), aliases), SERIES)
+    df = correct_keyed(impute_keyed(df))
+    df = to_counts(df.unionByName(keyless.withColumns({"is_imputed": F.lit(False), "is_outlier_corrected": F.lit(False)})))
     return df.select(
         "sensor_id", "gate_id", "footfall_date", "hour", "count_in", "count_out",
         "is_imputed", "is_outlier_corrected", "_source_file", "_dq_flags",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import (
-    MONEY, QUANTITY, count_where, flags, parse_mixed_dates, try_number,
+    MONEY, QUANTITY, count_where, flags, lookup_known, parse_mixed_dates, try_number,
 )
 
 POS_DUPLICATE_KEY = [
@@ -40,14 +40,16 @@ def with_refund(df: DataFrame) -> DataFrame:
 
 
 def with_duplicate_flag(
-    df: DataFrame, keys: list[str] = POS_DUPLICATE_KEY, order: list[str] = POS_ORDER, lanes: int = 32
+    df: DataFrame, keys: list[str] = POS_DUPLICATE_KEY, order: list[str] = POS_ORDER, lanes: int | None = None
 ) -> DataFrame:
     """Flags the second and later copy of a key (null equals null); the first is kept.
 
     Copies are first ranked within lanes taken from the input partition, then only
-    the lane winners of a key meet. A key that makes up a large part of the table
-    is never gathered in one task, and no copy is lost.
+    the lane winners of a key meet. There are as many lanes as shuffle partitions, so a
+    key that makes up a large part of the table is spread over all tasks however
+    large it is, and no copy is lost.
     """
+    lanes = lanes or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
     local = df.withColumn("_lane", lane).withColumn(
         "_local", F.row_number().over(Window.partitionBy(*keys, "_lane").orderBy(*order))
@@ -143,7 +145,7 @@ def flag_shared_phone(df: DataFrame) -> DataFrame:
     shared = phone_owners(df).filter("_low_member <> _high_member").select(
         "phone_number", F.lit(True).alias("_shared")
     )
-    joined = df.join(shared, "phone_number", "left")
+    joined = lookup_known(df, shared, "phone_number")
     return joined.withColumn("shared_phone_across_members", F.coalesce("_shared", F.lit(False))).drop("_shared")
 
 

@@ -277,6 +277,22 @@ def _(s):
     return named.groupBy("tenant_id", "sales_month", "is_restatement", "submitted_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+TEXT_CELLS = """SELECT doc_id, text, replace(coalesce(source, ''), 'src', 'a \\"b\\" ') AS note FROM documents""".replace("\\", "")
+
+
+@query("s3_quoted_cells", f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(text) AS n_chars, md5(text) AS digest, note
+    FROM ({TEXT_CELLS}) WHERE text <> ''""")
+def _(s):
+    """Whole document texts as cells: quotes, line breaks, commas and backslashes come back as they went."""
+    folder, columns = scratch(s, "quoted"), ["doc_id", "text", "note"]
+    note = F.replace(F.coalesce("source", F.lit("")), F.lit("src"), F.lit('a "b" '))
+    cells = s.table("documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("doc_id"), "text", note.alias("note"))
+    cells.write.options(**drops.CSV_OPTIONS).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(folder)
+    read = drops.read_drop(s.spark, folder, "*.csv", columns, multi_line=True)
+    return read.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"), "note")
+
+
 FILES = "SELECT doc_id, source AS source_name, 'doc_' || doc_id || '.csv' AS file_name, md5(text) AS checksum FROM documents"
 
 
@@ -340,9 +356,18 @@ def _(s):
     return reg.file_row_counts(s.landed["pos_sales"])
 
 
-@query("s9_full_scan", "SELECT count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS amount FROM lineitem")
+@query("s9_full_scan", """SELECT l_returnflag, l_linestatus, count(*) AS n, count(DISTINCT l_orderkey) AS orders, max(l_partkey) AS part,
+    max(l_suppkey) AS supp, max(l_linenumber) AS line, CAST(max(l_shipdate) AS DATE)::VARCHAR AS shipped, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantity,
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS amount, CAST(sum(CAST(l_discount + l_tax AS DECIMAL(12,2))) AS DOUBLE) AS rates
+    FROM lineitem GROUP BY 1, 2""")
 def _(s):
-    return s.table("lineitem").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("amount"))
+    """Every column of the table, read through the warehouse."""
+    lines = tables.Warehouse(s.spark, s.sf_dir).read_table(".", "lineitem.parquet")
+    total = lambda c: F.sum(c.cast("decimal(12,2)"))
+    return lines.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.max("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"),
+        F.max("l_linenumber").alias("line"), F.max(F.col("l_shipdate").cast("date")).alias("shipped"), total(F.col("l_quantity")).alias("quantity"),
+        total(F.col("l_extendedprice")).alias("amount"), total(F.col("l_discount") + F.col("l_tax")).alias("rates"))
 
 
 @query("s10_replace_table", "SELECT count(*) AS n, CAST(sum(line_amount_kwd) AS DOUBLE) AS amount FROM f_pos")
@@ -597,17 +622,33 @@ def _(s):
     return s.dims["dim_tenant"].select("tenant_id", "category", "unit_sqm", "valid_from", "valid_to", "is_current")
 
 
-@query("dm8_rebuild_scd2", f"""WITH late AS (SELECT tenant_id, 'late' AS category, DATE '1997-03-01' AS valid_from FROM d_tenant GROUP BY 1
-      HAVING min(valid_from) < DATE '1997-03-01'),
-    b AS (SELECT tenant_id, category, valid_from FROM d_tenant UNION ALL SELECT * FROM late)
+# one tenant in three gets a change inside its history, one on the day a version begins, one before all versions
+LATE = """late AS (SELECT tenant_id, CASE CAST(substr(tenant_id, 2) AS BIGINT) % 3 WHEN 0 THEN DATE '1997-03-01' WHEN 1 THEN max(valid_from)
+      ELSE DATE '1900-01-01' END AS day, min(valid_from) AS first FROM d_tenant GROUP BY 1)"""
+
+
+def late_changes(s: Site) -> DataFrame:
+    versions = s.dims["dim_tenant"].groupBy("tenant_id").agg(F.max("valid_from").alias("last"))
+    kind = F.substring("tenant_id", 2, 18).cast("bigint") % 3
+    day = F.when(kind == 0, F.lit("1997-03-01").cast("date")).when(kind == 1, F.col("last")).otherwise(F.lit("1900-01-01").cast("date"))
+    return versions.select("tenant_id", day.alias("effective_from"), F.lit("late").alias("category"))
+
+
+@query("dm8_rebuild_scd2", f"""WITH {LATE}, b AS (
+      SELECT tenant_id, CASE WHEN day = valid_from THEN 'late' ELSE category END AS category, valid_from FROM d_tenant JOIN late USING (tenant_id)
+      UNION ALL SELECT tenant_id, 'late', day FROM late WHERE day > first AND (tenant_id, day) NOT IN (SELECT (tenant_id, valid_from) FROM d_tenant))
     SELECT tenant_id, category, CAST(valid_from AS VARCHAR) AS valid_from,
       CAST(CAST(lead(valid_from) OVER w - INTERVAL 1 DAY AS DATE) AS VARCHAR) AS valid_to,
       lead(valid_from) OVER w IS NULL AS is_current FROM b WINDOW w AS (PARTITION BY tenant_id ORDER BY valid_from)""")
 def _(s):
-    changes = s.table("supplier").select(
-        F.concat(F.lit("T"), F.col("s_suppkey").cast("string")).alias("tenant_id"),
-        F.lit("1997-03-01").cast("date").alias("effective_from"), F.lit("late").alias("category"))
-    return dm.rebuild_scd2(s.dims["dim_tenant"], changes).select("tenant_id", "category", "valid_from", "valid_to", "is_current")
+    rebuilt = dm.rebuild_scd2(s.dims["dim_tenant"], late_changes(s))
+    return rebuilt.select("tenant_id", "category", "valid_from", "valid_to", "is_current")
+
+
+@query("dm8_placed_changes", f"""WITH {LATE} SELECT tenant_id, CAST(day AS VARCHAR) AS effective_from, CASE WHEN day < first THEN 'rejected'
+    WHEN (tenant_id, day) IN (SELECT (tenant_id, valid_from) FROM d_tenant) THEN 'corrected' ELSE 'split' END AS outcome FROM late""")
+def _(s):
+    return dm.place_changes(s.dims["dim_tenant"], late_changes(s)).select("tenant_id", "effective_from", "outcome")
 
 
 @query("dm9_date", f"""SELECT date_key, {text('full_date')}, is_weekend, is_ramadan, holiday_name IS NOT NULL AS is_public_holiday, holiday_name,
@@ -886,8 +927,8 @@ def _(s):
 
 @query("q10_gate", f"SELECT bool_or(status = 'fail' AND severity = 'error') AS critical FROM {SMALL}")
 def _(s):
-    bad = (F.col("status") == "fail") & (F.col("severity") == "error")
-    return small_results(s).agg(F.bool_or(bad).alias("critical"))
+    # the gate itself, on the results of each check table and of all
+    return small_results(s).agg(dq.any_critical().alias("critical"))
 
 
 @query("q11_summary", f"""WITH r AS (SELECT * FROM {SMALL}), t AS (SELECT count(*) AS checks_run, count(*) FILTER (WHERE status = 'fail') AS checks_failed,

@@ -44,13 +44,12 @@ def load_source(
         raw = drops.attach_manifest(raw, manifest) if manifest is not None else raw.withColumn(
             "submitted_date", F.lit(None).cast("string"))
     landed = reg.with_drop_month(raw.withColumn("_loaded_at", F.current_timestamp()))
+    months = reg.touched_months(todo)
     if wh.exists("bronze", table):
-        stored = wh.read_table("bronze", table)
-        stored = stored.withColumn("_drop_month", F.col("_drop_month").cast("string"))
-        landed = reg.merge_files(stored, landed, todo)
+        landed = reg.merge_files(wh.read_bronze(table), landed, todo, months)
     wh.replace_partitions("bronze", table, landed)
     names = todo.select(F.col("file_name").alias("_source_file"))
-    counts = reg.file_row_counts(wh.read_table("bronze", table).join(names, "_source_file", "left_semi"))
+    counts = reg.file_row_counts(reg.only_months(wh.read_bronze(table), months).join(names, "_source_file", "left_semi"))
     return len(todo_rows), reg.loaded_entries(todo, counts)
 
 

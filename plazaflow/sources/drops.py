@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -93,24 +94,64 @@ def file_fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
     return list_files(spark, pattern).repartition(width).mapInPandas(fingerprint, FILE_SCHEMA)
 
 
+def file_headers(spark: SparkSession, pattern: str) -> DataFrame:
+    """path and header line per file; tasks read up to the first line break only."""
+    open_stream = _opener()
+
+    def head(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines = []
+            for path in batch["path"]:
+                line = b""
+                with open_stream(path) as stream:
+                    while chunk := stream.read(4096):
+                        part, newline, _ = chunk.partition(b"\n")
+                        line += part
+                        if newline:
+                            break
+                lines.append(line.decode("utf-8-sig").strip())
+            yield pd.DataFrame({"path": batch["path"], "header": lines})
+
+    width = max(1, spark.sparkContext.defaultParallelism)
+    return list_files(spark, pattern).repartition(width).mapInPandas(head, "path string, header string")
+
+
 def _text(name: str) -> Column:
     return F.when(~F.col(name).isin(MISSING), F.col(name)).alias(name)
 
 
-def read_by_header(spark: SparkSession, files: list[tuple[str, str]], columns: list[str] | None = None) -> DataFrame:
+# A quote inside a quoted cell is doubled; a backslash is an ordinary character.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+
+
+def landed_text(df: DataFrame) -> DataFrame:
+    """What lands of a read drop, in batch and stream alike: texts, missing ones as null, and the file."""
+    names = df.columns
+    return df.select(*[_text(n) for n in names], F.col("_metadata.file_name").alias("_source_file"))
+
+
+def header_names(header: str) -> list[str]:
+    """Lower-case column names of a header line, which may be quoted."""
+    return [h.strip().lower() for h in next(csv.reader([header.strip()]), [])]
+
+
+def read_by_header(
+    spark: SparkSession, files: list[tuple[str, str]], columns: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
     """files: (path, header line). One read per distinct header, so a file whose columns are in
     another order, or lack some, still lands by name. The list is file metadata, which the
-    driver holds for any file scan; rows stay distributed."""
-    groups: dict[str, list[str]] = defaultdict(list)
+    driver holds for any file scan; rows stay distributed.
+
+    multi_line lets quoted cells hold line breaks. Such a file cannot be split, so it is read by
+    one task; it is meant for sources that are known to have such cells."""
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path, header in files:
-        groups[header].append(path)
+        groups[tuple(header_names(header))].append(path)
     parts = []
-    for header, paths in groups.items():
-        names = [h.strip().strip('"').lower() for h in header.split(",")]
+    for names, paths in groups.items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(paths)
-        df = df.select(*[_text(n) for n in names], F.col("_metadata.file_name").alias("_source_file"))
-        parts.append(df)
+        df = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", True).option("multiLine", multi_line)
+        parts.append(landed_text(df.csv(paths)))
     if not parts:
         names = [*(columns or []), "_source_file"]
         return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
@@ -124,10 +165,12 @@ def read_by_header(spark: SparkSession, files: list[tuple[str, str]], columns: l
     return out.select(*picked, "_source_file")
 
 
-def read_drop(spark: SparkSession, path: str, pattern: str, columns: list[str] | None = None) -> DataFrame:
+def read_drop(
+    spark: SparkSession, path: str, pattern: str, columns: list[str] | None = None, multi_line: bool = False
+) -> DataFrame:
     """All files of a drop folder as text, lower-case columns, `_source_file` added."""
-    found = file_fingerprints(spark, f"{path.rstrip('/')}/{pattern}").select("path", "header").collect()
-    return read_by_header(spark, [(r["path"], r["header"]) for r in found], columns)
+    found = file_headers(spark, f"{path.rstrip('/')}/{pattern}").collect()
+    return read_by_header(spark, [(r["path"], r["header"]) for r in found], columns, multi_line)
 
 
 def with_filing_name(raw: DataFrame) -> DataFrame:

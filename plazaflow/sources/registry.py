@@ -54,12 +54,22 @@ def with_drop_month(df: DataFrame) -> DataFrame:
     return df.withColumn("_drop_month", F.when(month != "", F.concat(month, part)).otherwise("static"))
 
 
-def merge_files(target: DataFrame, new: DataFrame, todo: DataFrame) -> DataFrame:
+def touched_months(todo: DataFrame) -> list[str]:
+    """The partitions that files belong to: a few months, so the list is small however many files there are."""
+    names = todo.select(F.col("file_name").alias("_source_file"))
+    return sorted(r[0] for r in with_drop_month(names).select("_drop_month").distinct().collect())
+
+
+def only_months(df: DataFrame, months: list[str]) -> DataFrame:
+    """Literal partitions, so that a scan opens no other folder."""
+    return df.filter(F.col("_drop_month").isin(months))
+
+
+def merge_files(target: DataFrame, new: DataFrame, todo: DataFrame, months: list[str] | None = None) -> DataFrame:
     """Rows of the touched partitions after the load: the old rows of every loaded file leave,
     all new rows come in. Leaving out also the rows of files not yet registered makes a load
     that died before its registry entry safe to repeat. Only partitions that receive rows are
-    read and written back."""
+    read and written back; `months` names them where they are known already."""
     names = todo.select(F.col("file_name").alias("_source_file"))
-    touched = with_drop_month(names).select("_drop_month").distinct()
-    kept = target.join(touched, "_drop_month", "left_semi").join(names, "_source_file", "left_anti")
+    kept = only_months(target, touched_months(todo) if months is None else months).join(names, "_source_file", "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Month-clustered facts: views that ask for a range prune partitions.
 MONTH_OF = {
@@ -34,6 +34,14 @@ class Warehouse:
     def read_table(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
+    def read_bronze(self, name: str) -> DataFrame:
+        """A landed table with its partition column as text, as it was written; inferred, months would become numbers
+        and a filter on their text would reach no partition."""
+        path = self.path("bronze", name)
+        plain = self.spark.read.parquet(path).schema
+        fields = [T.StructField(f.name, T.StringType() if f.name == "_drop_month" else f.dataType) for f in plain]
+        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+
     def replace_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Full refresh. Facts are laid out by month, with hot months split over several files."""
         where = self.path(layer, name)
