@@ -37,7 +37,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: cuts the lineage and outlives executors."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.table_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of written() that nothing will read again."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.table_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Bloom:
+    """A filter over 64-bit hashes: what it lets pass may be in the set, what it stops is not.
+
+    Its size follows the number of hashes up to MOST_BITS (64 MB), so it may be broadcast; beyond
+    that it only stops less.
+    """
+
+    MOST_BITS, PROBES = 2**29, 4
+
+    def __init__(self, hashes: DataFrame, count: int):
+        """hashes: a frame of one long column."""
+        self.bits = min(max(1 << (16 * count).bit_length(), 2**13), self.MOST_BITS)
+        h = F.col(hashes.columns[0])
+        low, high = h.bitwiseAND(F.lit(2**32 - 1)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+        at = F.explode(F.array(*[F.pmod(low + high * i, F.lit(self.bits)) for i in range(self.PROBES)]))
+        words = hashes.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("mask"))
+        got = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # at most MOST_BITS / 64 rows
+        table = np.zeros(self.bits // 64, np.uint64)
+        table[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(np.uint64)
+        self.sent = hashes.sparkSession.sparkContext.broadcast(table)
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        h, table = hashes.astype(np.int64).view(np.uint64), self.sent.value
+        low, high = h & np.uint64(2**32 - 1), (h >> np.uint64(32)) | np.uint64(1)
+        out = np.ones(len(h), bool)
+        for i in range(self.PROBES):
+            at = (low + high * np.uint64(i)) % np.uint64(self.bits)
+            out &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
 
 
 def partitions(spark: SparkSession) -> int:

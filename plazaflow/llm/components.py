@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from plazaflow.llm.common import written
+from plazaflow.llm.common import discard, written
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -24,8 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        e = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large-star")
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
-        small = e.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
+        large = written(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large-star")
+        discard(e)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
         e = written(small.distinct(), "small-star")
+        discard(large)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())

@@ -1,8 +1,9 @@
 """Documents whose sets of word shingles nearly coincide, by signature trees.
 
-Equal sets are one class. For candidates a set is cut by a hash of its shingles into one part more
-than two linked sets can differ by, so linked sets have an equal part; classes that share
-parts, directly or through others, form a family, and no link leaves a family. Each family gets
+Equal sets are one class. For candidates a set is cut by a hash of its shingles into more parts
+than two linked sets can differ in, so linked sets have equal parts; the largest parts suffice.
+Classes that share parts, directly or through others, form a family, and no link leaves a
+family. Only texts of families are shuffled. Each family gets
 a signature tree: leaves of classes, and nodes with the OR of their bitmaps and their range of
 sizes. A traversal of node pairs drops those whose largest possible overlap is too small and
 those that are one component already; what remains is compared exactly. A large family is cut
@@ -20,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plazaflow.llm.common import NO_ID, WordHasher, chunks, mix, packed, unpacked, written
+from plazaflow.llm.common import NO_ID, Bloom, WordHasher, chunks, mix, packed, unpacked, written
 from plazaflow.llm.components import components
 
 SHINGLE = 3
@@ -56,10 +57,10 @@ def shingle_sets(texts: list[bytes], size: int, hasher: WordHasher) -> list[np.n
 
 
 class Scheme:
-    """How many parts sets of a size are cut into, so that any two linked ones have an equal part.
+    """By how many shingles two linked sets of a size can differ at most.
 
     Sizes fall into bands such that linked sets are in one band or in adjacent ones. A pair uses
-    the scheme of its larger set, so a set is cut by its own band's scheme and by the next one's.
+    the band of its larger set, so a set is cut for its own band and for the next one.
     For |A & B| >= t |A | B|, |A ^ B| <= (1-t)/(1+t) (|A| + |B|).
     """
 
@@ -73,30 +74,39 @@ class Scheme:
             self.starts.append(self.starts[-1] * 100 // self.percent + 1)
         return np.searchsorted(np.array(self.starts, np.int64), n, "right") - 1
 
-    def parts(self, band: np.ndarray) -> np.ndarray:
+    def differ(self, band: np.ndarray) -> np.ndarray:
         while len(band) and len(self.starts) < band.max() + 2:
             self.starts.append(self.starts[-1] * 100 // self.percent + 1)
         most = np.array(self.starts, np.int64)[band + 1] - 1
-        return 2 * most * (100 - self.percent) // (100 + self.percent) + 1
+        return 2 * most * (100 - self.percent) // (100 + self.percent)
 
 
 def part_keys(sets: list[np.ndarray], scheme: Scheme) -> list[np.ndarray]:
-    """For each set, the hashes of all its parts under both schemes."""
+    """For each set, the hashes of its largest parts, for both bands.
+
+    Sets that differ by at most d shingles, cut into k > d parts, have k - d equal parts or more.
+    The largest of these (by size, then hash) has k - d - 1 equal parts below it in either set,
+    so it is among the d + 1 largest of both: those are enough, and small parts, which
+    unrelated sets may share, are left out.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     of = np.repeat(np.arange(len(sets)), sizes)
     band, found = scheme.band(sizes), []
     with np.errstate(over="ignore"):
         for step in (0, 1):
-            k = scheme.parts(band + step)
+            send = scheme.differ(band + step) + 1
+            k = send * 5 // 4
             first = np.cumsum(k) - k
             salt = mix((band + step + 1).astype(np.uint64))
-            part = (mix(flat + salt[of]) % k[of].astype(np.uint64)).astype(np.int64)
-            sums = np.zeros(int(k.sum()), np.uint64)
-            np.add.at(sums, first[of] + part, mix(flat ^ salt[of]))
+            part = first[of] + (mix(flat + salt[of]) % k[of].astype(np.uint64)).astype(np.int64)
+            sums, held = np.zeros(int(k.sum()), np.uint64), np.bincount(part, minlength=int(k.sum()))
+            np.add.at(sums, part, mix(flat ^ salt[of]))
             number = np.arange(int(k.sum())) - np.repeat(first, k)
-            found.append((first, k, mix(sums + mix(np.repeat(salt, k) ^ number.astype(np.uint64)))))
-    return [np.concatenate([keys[f[i]: f[i] + k[i]] for f, k, keys in found]) for i in range(len(sets))]
+            keys = mix(sums + mix(np.repeat(salt, k) ^ number.astype(np.uint64)))
+            rank = (np.minimum(held, 2**15).astype(np.uint64) << np.uint64(48)) | (keys >> np.uint64(16))
+            found.append([keys[f: f + n][np.argpartition(rank[f: f + n], n - m)[n - m:]] if n > m else keys[f: f + n] for f, n, m in zip(first, k, send)])
+    return [np.concatenate(pair) for pair in zip(*found)]
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
@@ -104,58 +114,58 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
-def _classes(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Per document: n, the class (c1, c2), part keys, and classes of the chunk with an equal part.
+def _classes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Per document: n and the class (c1, c2)."""
+    hasher = WordHasher(~_SPACES)
+    for batch in batches:
+        texts = [t.as_py() or b"" for t in batch.column(1)]
+        sets = (s for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher))
+        found = [(len(s), *(_digest(s) if len(s) else (0, 0))) for s in sets]
+        n, c1, c2 = np.array(found, np.int64).reshape(-1, 3).T
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(c1), pa.array(c2)],
+                                         names=["doc_id", "copy", "n", "c1", "c2"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """(key, class, other): rows with a null `other` are parts to be met; the rest ties a class to another of its chunk.
 
     Within a chunk each class is cut once, and each key is sent by the first class that has it;
     the others name that class instead, so a common key leaves a chunk once.
     """
     hasher, scheme = WordHasher(~_SPACES), Scheme(percent)
     for batch in batches:
-        texts = [t.as_py() or b"" for t in batch.column(1)]
-        n, c1, c2, sent, near = [], [], [], [], []
+        texts = [t.as_py() or b"" for t in batch.column(0)]
         for lo, hi in chunks(texts):
-            sets = shingle_sets(texts[lo:hi], size, hasher)
-            digests = [_digest(s) if len(s) else (0, 0) for s in sets]
-            first = {d: i for i, d in reversed(list(enumerate(digests))) if len(sets[i])}
-            own = sorted(first.values())
-            keys = part_keys([sets[i] for i in own], scheme)
-            flat, of = np.concatenate(keys) if keys else np.zeros(0, np.uint64), np.repeat(np.arange(len(own)), [len(k) for k in keys])
+            sets = {_digest(s)[0]: s for s in shingle_sets(texts[lo:hi], size, hasher) if len(s)}
+            if not sets:
+                continue
+            ids, keys = np.array(list(sets), np.int64), part_keys(list(sets.values()), scheme)
+            flat, of = np.concatenate(keys), np.repeat(np.arange(len(ids)), [len(k) for k in keys])
             _, at, inverse = np.unique(flat, return_index=True, return_inverse=True)
-            holder = of[at][inverse] if len(flat) else of
-            leads = holder == of
-            ids = np.array([digests[i][0] for i in own], np.int64)
-            keys_of, near_of = {}, {}
-            for j, i in enumerate(own):
-                mine = slice(*np.searchsorted(of, [j, j + 1]))
-                keys_of[i] = np.unique(flat[mine][leads[mine]]).view(np.int64)
-                near_of[i] = np.unique(ids[holder[mine][~leads[mine]]])
-            for i, (s, d) in enumerate(zip(sets, digests)):
-                n.append(len(s))
-                c1.append(d[0])
-                c2.append(d[1])
-                sent.append(keys_of.get(i, []))
-                near.append(near_of.get(i, []))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
-             pa.array(sent, pa.list_(pa.int64())), pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "copy", "n", "c1", "c2", "keys", "near"])
+            holder = of[at][inverse]
+            lead = holder == of
+            ties = np.unique(np.stack([ids[of[~lead]], ids[holder[~lead]]]), axis=1)
+            own = np.unique(np.stack([flat[lead].view(np.int64), ids[of[lead]]]), axis=1)
+            other = np.concatenate([np.zeros(own.shape[1], np.int64), ties[1]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([own[0], ties[0]])), pa.array(np.concatenate([own[1], ties[0]])),
+                 pa.array(other, mask=np.arange(len(other)) < own.shape[1])], names=["key", "c", "other"])
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from the classes of a key to its first one; rows come sorted by key and class."""
-    last_key, first = None, None
+    """Edges from the classes of a key to its first one, and the ties; rows come sorted by key and class."""
+    last_key, first = None, 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        fresh = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-        lead = np.where(fresh, c, 0)
-        run = np.cumsum(fresh) - 1
-        heads = c[fresh]
-        lead = np.where(run >= 0, heads[np.maximum(run, 0)] if len(heads) else first, first if first is not None else 0)
-        last_key, first = key[-1], int(lead[-1])
-        other = lead != c
-        pairs = np.unique(np.stack([c[other], lead[other]]), axis=1)
+        met = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+        a, b = batch.column(1).to_numpy()[~met], batch.column(2).fill_null(0).to_numpy()[~met]
+        key, c = batch.column(0).to_numpy()[met], batch.column(1).to_numpy()[met]
+        if len(key):
+            fresh = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
+            heads = np.concatenate([[first], c[fresh]])
+            lead = heads[np.cumsum(fresh)]
+            last_key, first = key[-1], lead[-1]
+            a, b = np.concatenate([a, c[lead != c]]), np.concatenate([b, lead[lead != c]])
+        pairs = np.unique(np.stack([a, b]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
@@ -257,40 +267,37 @@ def _task(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _links(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b) edges between class ids that connect all linked classes."""
-    fresh = rows.where("n > 0")
-    keyed = fresh.select(F.explode("keys").alias("key"), "c1").repartition("key").sortWithinPartitions("key", "c1")
-    stars = keyed.mapInArrow(_stars, "a long, b long").union(fresh.select("c1", F.explode("near")))
+    keys = docs.select("text").mapInArrow(lambda b: _keys(b, size, percent), "key long, c long, other long")
+    stars = keys.repartition("key").sortWithinPartitions("key", "c").mapInArrow(_stars, "a long, b long")
     family = components(stars).select(F.col("node").alias("c1"), F.col("component").alias("family"))
     members = written(classes.join(family, "c1"), "members")  # c1, c2, cid, n, family
     sums = members.groupBy("family").agg(F.sum("n").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("long")
-    total = sums.agg(F.sum("weight")).first()[0] or 0
+    total, n_members = members.agg(F.sum("n"), F.count(F.lit(1))).first()
+    total, wanted = total or 0, Bloom(members.select("c1"), n_members)
     slots = F.lit(-(-total // BLOCK_SHINGLES) or 1)
     placed = members.join(sums, "family").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), "blocks")).withColumn(
         "slot", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), slots)).otherwise(-1))
 
-    hasher_of = lambda: WordHasher(~_SPACES)
-
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A text of each class, about once per task."""
-        hasher, seen = hasher_of(), set()
+        """A text of each class of a family (and of few others), about once per task."""
+        hasher, seen = WordHasher(~_SPACES), set()
         for batch in batches:
             texts = [t.as_py() or b"" for t in batch.column(0)]
-            digests = [_digest(s) if len(s) else None for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher)]
+            digests = [_digest(s) if len(s) else (0, 0) for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher)]
+            c1, c2 = np.array(digests, np.int64).reshape(-1, 2).T
             if len(seen) > SEEN:
                 seen.clear()
             keep = []
-            for i, d in enumerate(digests):
-                if d is not None and d not in seen:
-                    seen.add(d)
+            for i in np.flatnonzero(wanted.passes(c1)):
+                if digests[i] != (0, 0) and digests[i] not in seen:
+                    seen.add(digests[i])
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([digests[i][0] for i in keep], pa.int64()), pa.array([digests[i][1] for i in keep], pa.int64()),
-                 pa.array([texts[i] for i in keep], pa.binary())], names=["c1", "c2", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c1[keep]), pa.array(c2[keep]), pa.array([texts[i] for i in keep], pa.binary())], names=["c1", "c2", "text"])
 
-    texts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(once, "c1 long, c2 long, text binary")
+    texts = docs.select("text").mapInArrow(once, "c1 long, c2 long, text binary")
     # the same plan at every size: texts are shuffled also where the members would fit a broadcast
     held = placed.select("c1", "c2", "cid", "family", "slot", "block", "blocks").hint("merge").join(texts, ["c1", "c2"])
     held = written(held.groupBy("cid", "family", "slot", "block", "blocks").agg(F.first("text").alias("text")), "family-texts")
@@ -341,12 +348,11 @@ def near_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     a component of none but such has a null name. Rows may repeat; equal texts are linked.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    rows = source.withColumn("copy", F.xxhash64("text")).mapInArrow(
-        lambda b: _classes(b, size, percent), "doc_id long, copy long, n long, c1 long, c2 long, keys array<long>, near array<long>")
+    rows = source.withColumn("copy", F.xxhash64("text")).mapInArrow(lambda b: _classes(b, size), "doc_id long, copy long, n long, c1 long, c2 long")
     rows = written(rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("key", _id_key(F.col("doc_id"))), "shingle-classes")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
         F.min("rid").alias("cid"), F.min("doc_id").alias("first_doc"), F.max("n").alias("n")), "classes")
-    edges = _links(source, rows, classes.select("c1", "c2", "cid", "n"), size, percent)
+    edges = _links(source, classes.select("c1", "c2", "cid", "n"), size, percent)
     label = components(edges).select(F.col("node").alias("cid"), "component")
     named = classes.join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     names = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
@@ -364,8 +370,16 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     """
     found = near_components(docs, percent, size)
     keeper = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("k"), F.max("n_shingles").alias("n"))
-    kept = keeper.select("k.rid", (F.col("n") == 0).alias("all")).join(found.select("rid", "key", "copy"), "rid").groupBy("key", "copy").agg(
-        F.max("all").alias("all"))
+    # what goes is told apart first: only rows that may be among it are shuffled
+    gone = written(found.join(keeper.select(F.col("k.rid").alias("rid"), F.lit(True).alias("stays")), "rid", "left").groupBy("key", "copy").agg(
+        F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times"), F.max("n_shingles").alias("n")).where(
+        "n > 0 AND (stays IS NULL OR times > 1)").select("key", "copy", "stays", F.xxhash64("key", "copy").alias("h")), "copies")
+    filter_ = Bloom(gone.select("h"), gone.count())
+    maybe = F.pandas_udf(lambda h: pd.Series(filter_.passes(h.to_numpy())), "boolean")
     rows = packed(docs, without="text", text=F.col("text"), key=_id_key(F.col("doc_id")), copy=F.xxhash64("text"))
-    stays = rows.join(kept, ["key", "copy"]).withColumn("nth", F.row_number().over(Window.partitionBy("key", "copy").orderBy("key")))
-    return unpacked(stays.where("all OR nth = 1"), docs.columns, text=F.col("text"))
+    rows = rows.withColumn("maybe", maybe(F.xxhash64("key", "copy")))
+    asked = rows.where("maybe").join(gone.select("key", "copy", "stays", F.lit(True).alias("gone")), ["key", "copy"], "left")
+    nth = F.row_number().over(Window.partitionBy("key", "copy").orderBy("key"))
+    asked = asked.withColumn("nth", F.when(F.col("gone"), nth)).where("gone IS NULL OR (stays AND nth = 1)")
+    kept = rows.where("NOT maybe").select("row", "text").union(asked.select("row", "text"))
+    return unpacked(kept, docs.columns, text=F.col("text"))
