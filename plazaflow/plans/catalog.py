@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plazaflow.functions.columns import parse_mixed_dates, try_number
+from plazaflow.operators import views as view_ops
 from plazaflow.operators import (
     calendar as cal, dims as dm, facts as ft, footfall_analytics as fa, footfall_cleaning as fc,
     leasing_analytics as la, online_analytics as oa, quality as dq, recurring_analytics as ra, silver as sv,
     site_analytics as sa,
 )
+from plazaflow.plans import warehouse
 from plazaflow.plans.bindings import CONFIG, END, START, Site
 from plazaflow.plans.oracle import compose, pct
 from plazaflow.session import shared_dir
@@ -211,7 +213,7 @@ def _(s):
 # ---- landing
 
 def scratch(s: Site, name: str) -> str:
-    return f"{shared_dir(s.spark, '/tmp/plazaflow')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 BOOKING_COLS = drops.COLUMNS["web_bookings"].split()
@@ -382,13 +384,6 @@ def _(s):
     return exports.json_ready(s.views["vw_revenue_summary"])
 
 
-@query("s15_row_manifest", """SELECT 'vw_tenant_compliance' AS view, count(*) AS row_count FROM w8 UNION ALL
-    SELECT 'vw_membership_active_churn', count(*) FROM w12 UNION ALL SELECT 'vw_lesson_utilization_monthly', count(*) FROM w15""")
-def _(s):
-    names = ["vw_tenant_compliance", "vw_membership_active_churn", "vw_lesson_utilization_monthly"]
-    return exports.row_manifest({n: s.views[n] for n in names})
-
-
 @query("s16_latest_run", """SELECT 'run-' || turn AS run_id, role AS check_name, count(*) AS n FROM conversations
     WHERE turn = (SELECT max(turn) FROM conversations) GROUP BY 1, 2""")
 def _(s):
@@ -667,10 +662,13 @@ def _(s):
 
 @query("dm11_build_dims", """SELECT 'dim_product' AS dim, count(*) AS n FROM d_product UNION ALL SELECT 'dim_tenant', count(*) FROM d_tenant
     UNION ALL SELECT 'dim_event', count(*) FROM d_event UNION ALL SELECT 'dim_customer', count(DISTINCT customer_id) FROM s_booking
-    UNION ALL SELECT 'dim_member', count(DISTINCT canonical_member_id) FROM s_member""")
+    UNION ALL SELECT 'dim_member', count(DISTINCT canonical_member_id) FROM s_member UNION ALL SELECT 'dim_venue', count(*) FROM d_venue
+    UNION ALL SELECT 'dim_gate', count(*) FROM d_gate UNION ALL SELECT 'dim_instructor', count(*) FROM d_instructor
+    UNION ALL SELECT 'dim_stable', count(*) FROM nation UNION ALL SELECT 'dim_date', count(*) FROM cal
+    UNION ALL SELECT 'dim_date_weather', count(*) FROM cal JOIN s_weather ON weather_date = full_date UNION ALL SELECT 'dim_channel', count(DISTINCT channel) FROM
+      (SELECT channel FROM s_booking UNION ALL SELECT channel FROM s_session)""")
 def _(s):
-    names = ["dim_product", "dim_tenant", "dim_event", "dim_customer", "dim_member"]
-    return exports.row_manifest({n: s.dims[n] for n in names}).withColumnsRenamed({"view": "dim", "row_count": "n"})
+    return exports.row_manifest(s.dims).withColumnsRenamed({"view": "dim", "row_count": "n"})
 
 
 @query("dm12_surrogate", "SELECT product_code, row_number() OVER (ORDER BY product_code) AS product_no FROM d_product")
@@ -942,6 +940,11 @@ FRESH_FOOT = fresh_sql("footfall_freshness", "footfall_hourly", "SELECT max(foot
 FRESH_BOOK = fresh_sql("web_bookings_freshness", "web_bookings", "SELECT max(booking_date) AS m FROM s_booking")
 
 
+def stored_layers(s: Site) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
+    """Silver, dimensions and facts written and read back, as a warehouse run leaves them for its gates."""
+    return warehouse.build_layers(tables.Warehouse(s.spark, scratch(s, "warehouse")), s.silver, s.cfg)
+
+
 @query("q12_silver_suite", f"{UNIQUE_SQL} UNION ALL {FRESH_POS} UNION ALL {FRESH_FOOT} UNION ALL {FRESH_BOOK} UNION ALL {FRESH_WEB}")
 def _(s):
     return dq.silver_suite(s.silver, END)
@@ -986,17 +989,17 @@ GOLD_SQL = [
                 "d_tenant d WHERE d.tenant_id = f.tenant_id"),
     count_sql("membership_months_stable_key_matches_boarding_type", "referential_integrity", "gold", "fact_membership_months",
               "SELECT count(*) AS n FROM f_member WHERE (contract_type = 'horse_boarding') <> (stable_id IS NOT NULL)",
-              "stable_key must be set iff contract_type = horse_boarding"),
+              "boarding contracts have a stable, others have none"),
     missing_sql("dim_gate_primary_venue_served_valid", "dim_gate", "", "", "(SELECT * FROM d_gate WHERE primary_venue_served IS NOT NULL)",
                 "d_venue d WHERE d.venue_id = f.primary_venue_served", "primary_venue_served -> gold.dim_venue.venue_id"),
     count_sql("dim_gate_spatial_metadata_populated", "referential_integrity", "gold", "dim_gate",
-              "SELECT count(*) AS n FROM d_gate WHERE gate_label IS NULL OR zone IS NULL", "gate_label, zone set from config spatial section"),
+              "SELECT count(*) AS n FROM d_gate WHERE gate_label IS NULL OR zone IS NULL", "gate_label, zone configured for every row"),
     count_sql("dim_venue_spatial_metadata_populated", "referential_integrity", "gold", "dim_venue",
-              "SELECT count(*) AS n FROM d_venue WHERE zone IS NULL OR gate_proximity IS NULL", "zone, gate_proximity set from config spatial section"),
+              "SELECT count(*) AS n FROM d_venue WHERE zone IS NULL OR gate_proximity IS NULL", "zone, gate_proximity configured for every row"),
     count_sql("dim_tenant_spatial_metadata_populated", "referential_integrity", "gold", "dim_tenant",
-              "SELECT count(*) AS n FROM d_tenant WHERE CAST(substr(tenant_id, 2) AS BIGINT) >= 10", "zone, gate_proximity set from config spatial section"),
+              "SELECT count(*) AS n FROM d_tenant WHERE CAST(substr(tenant_id, 2) AS BIGINT) >= 10", "zone, gate_proximity configured for every row"),
     count_sql("pos_sales_refund_has_negative_amount", "value_range", "gold", "fact_pos_sales",
-              "SELECT count(*) AS n FROM f_pos WHERE is_refund AND line_amount_kwd >= 0", "every is_refund row must have line_amount_kwd < 0"),
+              "SELECT count(*) AS n FROM f_pos WHERE is_refund AND line_amount_kwd >= 0", "refunded lines carry negative amounts"),
     count_sql("footfall_counts_non_negative", "value_range", "gold", "fact_footfall",
               "SELECT count(*) AS n FROM f_foot WHERE count_in < 0 OR count_out < 0"),
     count_sql("lesson_slots_attended_not_above_booked", "value_range", "gold", "fact_lesson_slots",
@@ -1008,7 +1011,7 @@ GOLD_SQL = [
 
 @query("q12_gold_suite", " UNION ALL ".join(GOLD_SQL))
 def _(s):
-    return dq.gold_suite(s.silver, s.dims, s.facts)
+    return dq.gold_suite(*stored_layers(s))
 
 
 @query("q13_group_checks", f"""SELECT check_type, count(*) FILTER (WHERE status = 'pass') AS passed, count(*) FILTER (WHERE status = 'fail') AS failed,
@@ -1317,3 +1320,41 @@ def _(s):
     FROM {MEMBERS}, (SELECT 1 FROM w12 LIMIT 1)""")
 def _(s):
     return ra.recurring_totals(ra.membership_series(s.views["vw_membership_active_churn"], RANGE))
+
+
+# ---- export: every view, each computed once
+
+VIEW_QUERIES = {
+    "vw_footfall_daily": "w1", "vw_footfall_by_zone": "w2", "vw_footfall_sales_conversion": "w3", "vw_event_roi": "w4",
+    "vw_avg_transaction_value": "w5", "vw_tenant_turnover_rent": "w6", "vw_tenant_sales_per_sqm": "w7", "vw_tenant_compliance": "w8",
+    "vw_ticket_channel_mix": "w9", "vw_web_channel_conversion": "w10", "vw_web_channel_conversion_monthly": "w11",
+    "vw_membership_active_churn": "w12", "vw_revenue_summary": "w13", "vw_lesson_utilization": "w14", "vw_lesson_utilization_monthly": "w15",
+    "vw_instructor_coverage": "w16", "vw_stable_occupancy": "w17", "vw_tenant_site_metrics": "w18", "vw_footfall_gate_hour_monthly": "w19",
+}
+COUNTS = {view: next(f"SELECT count(*) AS row_count FROM ({sql})" for name, sql in ORACLE.items() if name.startswith(f"{w}_"))
+          for view, w in VIEW_QUERIES.items()}
+
+
+def exported(s: Site) -> DataFrame:
+    """All views written as JSON from stored facts, and counted from what was written."""
+    _, dims, facts = stored_layers(s)
+    return exports.export_views(view_ops.build_views(dims, facts), scratch(s, "export"))
+
+
+@query("s15_row_manifest")
+def _(s):
+    return exported(s)
+
+
+ORACLE["s15_row_manifest"] = " UNION ALL ".join(f"SELECT '{view}' AS view, row_count FROM ({sql})" for view, sql in COUNTS.items())
+
+
+@query("s14_metric_register")
+def _(s):
+    """Which metric is on, the view behind it, and what that view holds."""
+    return exports.register_frame(s.spark, s.cfg | {"metrics": {"enabled": ["event_roi", "footfall_vs_ly_weather"]}}).join(exported(s), "view", "left")
+
+
+ORACLE["s14_metric_register"] = " UNION ALL ".join(
+    f"SELECT '{metric}' AS metric, '{view}' AS view, {metric in ('event_roi', 'footfall_vs_ly_weather')} AS enabled, row_count FROM ({COUNTS[view]})"
+    for metric, view in exports.METRIC_VIEWS.items())

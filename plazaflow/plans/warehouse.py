@@ -122,6 +122,15 @@ def _gate(wh: Warehouse, layer: str, checks: DataFrame, run_id: str) -> bool:
     return not quality.has_critical_failures(mine)
 
 
+def build_layers(
+    wh: Warehouse, silver_plans: dict[str, DataFrame], cfg: dict
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
+    """Silver, dimensions and facts, each written before the next layer is built from it; no gates."""
+    silver = _store(wh, "silver", silver_plans)
+    dims = _store(wh, "gold", dim_ops.build_dims(wh.spark, silver, cfg))
+    return silver, dims, _store(wh, "gold", fact_ops.build_facts(wh.spark, silver, dims, cfg))
+
+
 def run(spark: SparkSession, cfg: dict, drop_root: str, warehouse_root: str, run_id: str | None = None) -> bool:
     """True when both gates passed. Raises GateFailure when silver must not reach gold."""
     wh, run_id = Warehouse(spark, warehouse_root), run_id or str(uuid.uuid4())
@@ -158,7 +167,8 @@ def register_views(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def export(wh: Warehouse, cfg: dict, out: str) -> DataFrame:
-    """Enabled and supporting views, latest checks and site plan as JSON; returns the row manifest."""
+    """Enabled and supporting views, latest checks and site plan as JSON, each computed once, with
+    the run's metadata beside them; returns the row manifest."""
     names, _ = exports.resolve_metrics(cfg)
     views = register_views(wh)
     chosen = {n: views[n] for n in names}
@@ -166,6 +176,6 @@ def export(wh: Warehouse, cfg: dict, out: str) -> DataFrame:
     if "site_plan" in cfg:
         plan = site_analytics.site_plan(wh.spark, gold_tables(wh)[0], cfg)
         extra |= {f"site_plan_{part}": df for part, df in plan.items()}
-    for name, df in {**chosen, **extra}.items():
-        exports.export_json(df, f"{out.rstrip('/')}/{name}")
-    return exports.row_manifest({**chosen, **extra})
+    manifest = exports.export_views({**chosen, **extra}, out)
+    exports.export_json(exports.export_meta(wh.spark, cfg, manifest), f"{out.rstrip('/')}/meta")
+    return manifest

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Skewed joins are left to adaptive execution: it splits the hot side of a
@@ -28,9 +30,17 @@ def get_session(app: str = "plazaflow", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder every executor can reach, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
+_local: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it (spark.checkpoint.dir).
+
+    Only a local session, where one process does all the work, may go without the setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        folder = _local.setdefault(app, tempfile.mkdtemp(prefix="plazaflow-"))
     return folder.rstrip("/")
