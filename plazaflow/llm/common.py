@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from plazaflow.session import shared_dir
+
 #: Text handled at a time inside a task; a longer document is handled alone.
 CHUNK_BYTES = 2**22
 #: Stands for a missing doc_id where ids are compared: smaller than any real one.
@@ -16,21 +17,9 @@ NO_ID = -(2**63)
 #: The white space that separates words and is stripped from lines: space and tab to return.
 SPACE = " \t\n\x0b\x0c\r"
 
-_local: dict[str, str] = {}
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (spark.checkpoint.dir).
-
-    Only a local[...] session, where one process does all the work, may go without the setting.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        app = spark.sparkContext.applicationId
-        folder = _local.setdefault(app, tempfile.mkdtemp(prefix="plazaflow-"))
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that the cluster shares."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -113,8 +113,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, least_z: float = 3.0, least_
     mean residual under the model without words is `least_z` standard errors from 0.
     """
     n, top = len(rows), max(int(grades.max()), 1) if len(grades) else 1
-    flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-    of = np.repeat(np.arange(n), [len(r) for r in rows])
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     # the model without words: thresholds at the (smoothed) shares of the grades above
     above = np.array([((grades > k).sum() + 0.5) / (n + 1) for k in range(top)])
     above = np.minimum(above, above[0] * 0.98 ** np.arange(top))
@@ -159,9 +159,11 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, sampl
     chosen = known.join(there, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("grade").alias("grade"))
     got = rows.select("grade", "text").mapInArrow(_features, "grade int, features array<int>").toArrow()
-    table = [np.asarray(f, np.int64) for f in got.column("features").to_pylist()]
-    order = sorted(range(len(table)), key=lambda i: (got.column("grade")[i].as_py(), table[i].tobytes()))
-    return fit([table[i] for i in order], np.array([got.column("grade")[i].as_py() for i in order], np.int64))
+    grades, lists = got.column("grade").to_numpy(), got.column("features").combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+    table = [flat[a - ends[0]: b - ends[0]] for a, b in zip(ends, ends[1:])]
+    order = sorted(range(len(table)), key=lambda i: (grades[i], table[i].tobytes()))  # the fit does not hang on how rows arrive
+    return fit([table[i] for i in order], grades[order].astype(np.int64))
 
 
 def grade_texts(docs: DataFrame, model: OrdinalModel, limit: float = LIMIT) -> DataFrame:
