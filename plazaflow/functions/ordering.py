@@ -7,22 +7,67 @@ needs to fit anywhere.
 
 from __future__ import annotations
 
-import warnings
+import uuid
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from plazaflow.session import shared_dir
+
+SAMPLED = 64  # different keys looked at for each bound
+FINE = 32  # bounds under one coarse bound
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder, so that its bounds and its rows come from the same data."""
+    path = f"{shared_dir(df.sparkSession)}/sequence-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _bounds(df: DataFrame, keys: list[str]) -> list[tuple]:
+    """At most as many keys as shuffle partitions, evenly spread over the different keys; a bounded sample is sorted."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, most = df.count(), parts * SAMPLED
+    every = F.pmod(F.xxhash64(*keys), F.lit(max(1, rows // most))) == 0
+    sample = [tuple(r) for r in df.where(every).select(*keys).distinct().orderBy(*keys).limit(2 * most).collect()]
+    step = max(1, -(-len(sample) // parts))
+    return sample[step::step]
+
+
+def _bucket(df: DataFrame, keys: list[str], bounds: list[tuple]) -> Column:
+    """How many bounds are at or below a row's key, found under the last coarse bound at or below it."""
+    kinds = dict(df.dtypes)
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    lit = lambda row: F.struct(*[F.lit(v).cast(kinds[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, row))])
+    below = lambda array: F.size(F.filter(array, lambda b: b <= key))
+    if not bounds:
+        return F.lit(0)
+    groups = [bounds[i:i + FINE] for i in range(0, len(bounds), FINE)]
+    if len(groups) == 1:
+        return below(F.array(*[lit(b) for b in bounds]))
+    coarse = F.greatest(below(F.array(*[lit(g[0]) for g in groups])), F.lit(1))
+    fine = F.element_at(F.array(*[F.array(*[lit(b) for b in g]) for g in groups]), coarse)
+    return (coarse - 1) * FINE + below(fine)
 
 
 def with_sequence(df: DataFrame, order: list[str], name: str = "_seq") -> DataFrame:
     """Adds the 0-based position in the order of `order` over the whole frame.
 
-    The remaining sortable columns break ties, so the numbering is the same
-    whenever the plan is evaluated; rows equal in all of them are interchangeable.
+    Rows fall into ranges of the key by literal bounds; they are numbered within their range and
+    shifted by the counts of the ranges before. The remaining sortable columns break ties, so
+    the numbering is the same whenever the plan is evaluated; rows equal in all of them are
+    interchangeable. Nothing is cached on executors.
     """
     kinds = dict(df.dtypes)
-    rest = [c for c in df.columns if c not in order and not kinds[c].startswith("map")]
-    with warnings.catch_warnings():
-        warnings.simplefilter("ignore")
-        return df.orderBy(*order, *rest).pandas_api().to_spark(index_col=name)
+    keys = [*order, *[c for c in df.columns if c not in order and not kinds[c].startswith("map")]]
+    rows = _written(df)
+    rows = rows.withColumn("_range", _bucket(rows, keys, _bounds(rows, keys)))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))  # a row per range, no more than shuffle partitions
+    numbered = rows.withColumn("_inside", inside).join(F.broadcast(starts), "_range")
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_inside")).cast("bigint").alias(name))
 
 
 def with_rank(df: DataFrame, keys: list[str], order: list[str], name: str = "_rank") -> DataFrame:

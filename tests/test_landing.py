@@ -106,3 +106,14 @@ def test_one_key_in_a_third_of_all_rows_is_flagged_whole(spark):
     df = spark.createDataFrame(rows, "invoice_id string, _source_file string, item_name string, venue_id string").repartition(7)
     out = sv.with_duplicate_flag(df, keys=["invoice_id"])
     assert out.where("invoice_id = 'hot' and not is_duplicate").count() == 1 and out.where("is_duplicate").count() == 999
+
+
+def test_positions_are_those_of_one_sort(spark):
+    from plazaflow.functions.ordering import with_sequence
+
+    rows = [(None if i % 11 == 0 else i * 7 % 53, f"t{i % 3}", dt.date(2025, 1, 1 + i % 28), i) for i in range(700)] + [(5, "same", None, 0)] * 300
+    df = spark.createDataFrame(rows, "a int, b string, c date, d int").repartition(5)
+    got = with_sequence(df, ["a", "b"]).collect()
+    order = sorted(rows, key=lambda r: tuple((v is not None, 0 if v is None else v) for v in r))
+    assert [tuple(r)[:4] for r in sorted(got, key=lambda r: r._seq)] == order
+    assert with_sequence(df.where("false"), ["a"]).collect() == []
