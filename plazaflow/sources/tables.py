@@ -29,11 +29,40 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def exists(self, layer: str, name: str) -> bool:
+        self._recover(self.path(layer, name))
         return path_exists(self.spark, self.path(layer, name))
 
     def read_table(self, layer: str, name: str) -> DataFrame:
+        self._recover(self.path(layer, name))
         return self.spark.read.parquet(self.path(layer, name))
 
+    # A refresh is written beside the table and takes its place by renames. A job that dies while
+    # writing leaves the table as it was; one that dies between the renames leaves the old table
+    # under its second name, from where the next use brings it back.
+
+    def _move(self, source: str, target: str | None) -> None:
+        """Renames a folder, or deletes it."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(source)
+        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if target is None:
+            fs.delete(where, True)
+        elif not fs.rename(where, self.spark._jvm.org.apache.hadoop.fs.Path(target)):
+            raise OSError(f"{source} could not be renamed to {target}")
+
+    def _recover(self, where: str) -> None:
+        if path_exists(self.spark, f"{where}__old"):
+            if path_exists(self.spark, where):
+                self._move(f"{where}__old", None)
+            else:
+                self._move(f"{where}__old", where)
+
+    def _switch(self, where: str) -> None:
+        self._recover(where)
+        if path_exists(self.spark, where):
+            self._move(where, f"{where}__old")
+        self._move(f"{where}__staged", where)
+        self._recover(where)
+
     def read_bronze(self, name: str) -> DataFrame:
         """A landed table with its partition column as text, as it was written; inferred, months would become numbers
         and a filter on their text would reach no partition."""
@@ -48,10 +77,11 @@ class Warehouse:
         if name in MONTH_OF:
             month = F.floor(F.col(MONTH_OF[name]) / 100).cast("int")
             laid = df.withColumn("_month", month).hint("rebalance", "_month")
-            laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(where)
-            return self.read_table(layer, name).drop("_month")
-        df.write.mode("overwrite").parquet(where)
-        return self.read_table(layer, name)
+            laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(f"{where}__staged")
+        else:
+            df.write.mode("overwrite").parquet(f"{where}__staged")
+        self._switch(where)
+        return self.read_table(layer, name).drop("_month")
 
     def append_results(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path("dq", name))
@@ -65,11 +95,8 @@ class Warehouse:
         )
 
     def replace_self(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Overwrite of a table that df reads: the new content is written beside it first."""
-        staged = self.path(layer, f"{name}__staged")
-        df.write.mode("overwrite").parquet(staged)
-        self.spark.read.parquet(staged).write.mode("overwrite").parquet(self.path(layer, name))
-        return self.read_table(layer, name)
+        """Overwrite of a table that df reads: a refresh is written beside the table in any case."""
+        return self.replace_table(layer, name, df)
 
 
 def write_daily(df: DataFrame, date_col: str, path: str) -> None:

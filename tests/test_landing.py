@@ -117,3 +117,29 @@ def test_positions_are_those_of_one_sort(spark):
     order = sorted(rows, key=lambda r: tuple((v is not None, 0 if v is None else v) for v in r))
     assert [tuple(r)[:4] for r in sorted(got, key=lambda r: r._seq)] == order
     assert with_sequence(df.where("false"), ["a"]).collect() == []
+
+
+def test_a_refresh_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    import pytest
+
+    wh = Warehouse(spark, str(tmp_path))
+    wh.replace_table("gold", "dim_gate", spark.range(3))
+    with pytest.raises(Exception):  # while writing
+        wh.replace_table("gold", "dim_gate", spark.range(5).select(F.raise_error(F.lit("lost")).alias("id")))
+    assert wh.read_table("gold", "dim_gate").count() == 3
+    real, calls = Warehouse._move, []
+
+    def second_fails(self, source, target):
+        calls.append(source)
+        if len(calls) == 2:
+            raise OSError("the driver dies here")
+        real(self, source, target)
+
+    monkeypatch.setattr(Warehouse, "_move", second_fails)  # between the renames
+    with pytest.raises(OSError):
+        wh.replace_table("gold", "dim_gate", spark.range(7))
+    monkeypatch.setattr(Warehouse, "_move", real)
+    again = Warehouse(spark, str(tmp_path))
+    assert again.exists("gold", "dim_gate") and again.read_table("gold", "dim_gate").count() == 3
+    assert again.replace_table("gold", "dim_gate", spark.range(7)).count() == 7
+    assert again.replace_self("gold", "dim_gate", again.read_table("gold", "dim_gate").where("id < 2")).count() == 2
