@@ -193,13 +193,14 @@ def rejects(silver: Tables, dims: Tables, crosswalk: DataFrame) -> DataFrame:
     no_version = join_version_asof(
         filings, dims["dim_tenant"].select("tenant_id", "valid_from", "valid_to"), how="left_anti"
     )
-    bookings = silver["web_bookings"].withColumn("booking_date", F.to_date("booking_datetime"))
+    bookings = silver["web_bookings"].groupBy(F.to_date("booking_datetime").alias("booking_date"), "product_code").agg(
+        F.count(F.lit(1)).alias("_rows"))
     late_bookings = bookings.join(dates, F.col("booking_date") == F.col("full_date"), "left_anti")
     no_family = bookings.join(crosswalk, F.col("product_code") == F.col("family_code"), "left_anti")
     return union_all([
         report(late_sales, "pos_sales_lines", "date outside calendar", F.lit(None)),
         report(no_gate, "footfall_hourly", "unknown gate", F.col("gate_id"), F.col("_rows")),
         report(no_version, "tenant_sales_monthly", "no tenant version", F.lit(None)),
-        report(no_family, "web_bookings", "product code without family", F.col("product_code")),
-        report(late_bookings, "web_bookings", "date outside calendar", F.lit(None)),
+        report(no_family, "web_bookings", "product code without family", F.col("product_code"), F.col("_rows")),
+        report(late_bookings, "web_bookings", "date outside calendar", F.lit(None), F.col("_rows")),
     ])

@@ -753,7 +753,9 @@ def _(s):
     UNION ALL SELECT 'web_bookings', 'date outside calendar', NULL, count(*) FROM s_booking
       WHERE booking_date NOT IN (SELECT full_date FROM cal) GROUP BY 1, 2, 3""")
 def _(s):
-    return ft.rejects(s.silver, s.dims, s.crosswalk)
+    # cleaning changes counts, not gates, so the conformed drop says as much about them
+    counts = fc.footfall_conform(s.landed["footfall"], s.cfg["weekend"])
+    return ft.rejects({**s.silver, "footfall_hourly": counts}, s.dims, s.crosswalk)
 
 
 # ---- views
