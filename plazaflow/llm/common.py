@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plazaflow.session import shared_dir
 
 #: Text handled at a time inside a task; a longer document is handled alone.
-CHUNK_BYTES = 2**22
+CHUNK_BYTES = 2**20
 #: Stands for a missing doc_id where ids are compared: smaller than any real one.
 NO_ID = -(2**63)
 #: The white space that separates words and is stripped from lines: space and tab to return.
@@ -129,13 +131,17 @@ class WordHasher:
         return hashes, np.diff(np.searchsorted(starts, bounds))
 
 
-def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of at most `most` bytes together, or of one text."""
-    lo = 0
-    while lo < len(texts):
-        hi, total = lo + 1, len(texts[lo])
-        while hi < len(texts) and total + len(texts[hi]) <= most:
-            total += len(texts[hi])
-            hi += 1
-        yield lo, hi
-        lo = hi
+def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The texts of a binary column in turn, as lists of at most `most` bytes together, or of one text; null is empty.
+
+    Only one list at a time is taken out of the Arrow buffer.
+    """
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    lo = total = 0
+    for i, size in enumerate(sizes):
+        if i > lo and total + size > most:
+            yield [t or b"" for t in column.slice(lo, i - lo).to_pylist()]
+            lo, total = i, 0
+        total += size
+    if lo < len(sizes):
+        yield [t or b"" for t in column.slice(lo).to_pylist()]

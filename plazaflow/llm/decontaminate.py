@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plazaflow.llm.common import CHUNK_BYTES, WordHasher, chunks, packed, unpacked
+from plazaflow.llm.common import WordHasher, packed, text_chunks, unpacked
 
 WINDOW = 10
+SHARD_BYTES = 2**21  # of text in a shard; a longer document is a shard of its own
 PHRASE_WORDS = 2**21  # phrases sent to executors at a time; a larger benchmark takes several passes
 SAMPLE = 32
 # On lower-cased UTF-8: digits, a-z and every byte of a character beyond ASCII.
@@ -226,11 +227,23 @@ def _spans(hit: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).tolist()
 
 
-def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, phrase_words: int = PHRASE_WORDS, shard_bytes: int = CHUNK_BYTES) -> DataFrame:
+def cut_words(text: bytes, spans: list[int]) -> bytes:
+    """The text without the words of the spans and what stands between them."""
+    bounds = [m.span() for m in _WORD.finditer(text.lower())]
+    parts, at = [], 0
+    for a, b in zip(spans[::2], spans[1::2]):
+        parts.append(text[at: bounds[a][0]])
+        at = bounds[b - 1][1]
+    return b"".join([*parts, text[at:]])
+
+
+def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, phrase_words: int = PHRASE_WORDS, shard_bytes: int = SHARD_BYTES,
+                 cut: bool = False) -> DataFrame:
     """Words of documents inside an occurrence of a benchmark window.
 
     Returns row (the input row without its text), text (binary), n_words, spans (word offsets of merged hits: start,
-    end, start, end ...) and items (the item_ids, as strings, with a window in the document). An item of fewer words
+    end, start, end ...), items (the item_ids, as strings, with a window in the document) and cut (where asked
+    for and anything is hit: the text without the hit words). An item of fewer words
     than a window is one window; null or empty texts have no words and give none. Items that
     repeat an item_id are one item; one without an id is called ''. Documents may repeat, and each is searched.
     """
@@ -238,19 +251,18 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ph
     groups = max(1, -(-rough // (2 * phrase_words)))  # a word and its gap take two bytes at least
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text"))
     found = packed(docs, without="text", text=F.col("text").cast("binary")).withColumn("n_words", F.lit(0).cast("long")).withColumn(
-        "spans", F.lit(None).cast("array<int>")).withColumn("items", F.lit(None).cast("array<string>"))
+        "spans", F.lit(None).cast("array<int>")).withColumn("items", F.lit(None).cast("array<string>")).withColumn("cut", F.lit(None).cast("binary"))
     kind = found.schema["row"].dataType.simpleString()
     for group in range(groups):
         part = items.where((F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == group) & F.col("text").isNotNull())
         sent = docs.sparkSession.sparkContext.broadcast(Phrases([(r.item, bytes(r.text)) for r in part.collect()], window))
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, cutting=cut and group == groups - 1) -> Iterator[pa.RecordBatch]:
             phrases = sent.value
             for batch in batches:
-                texts = [t.as_py() or b"" for t in batch.column(1)]
                 hits, own, n_words = [], [], []
-                for lo, hi in chunks(texts, shard_bytes):
-                    joined, lengths = phrases.lexicon.symbols(texts[lo:hi])
+                for texts in text_chunks(batch.column(1), shard_bytes):
+                    joined, lengths = phrases.lexicon.symbols(texts)
                     a, b = search_shard(joined, lengths, phrases)
                     hits.extend(a)
                     own.extend([phrases.names[i] for i in x] for x in b)
@@ -263,9 +275,11 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ph
                     names.append(sorted({*(had or []), *got}))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.array(spans, pa.list_(pa.int32())),
-                     pa.array(names, pa.list_(pa.string()))], names=["row", "text", "n_words", "spans", "items"])
+                     pa.array(names, pa.list_(pa.string())),
+                     pa.array([cut_words(t.as_py(), s) if cutting and s else None for t, s in zip(batch.column(1), spans)], pa.binary())],
+                    names=["row", "text", "n_words", "spans", "items", "cut"])
 
-        found = found.mapInArrow(run, f"row {kind}, text binary, n_words long, spans array<int>, items array<string>")
+        found = found.mapInArrow(run, f"row {kind}, text binary, n_words long, spans array<int>, items array<string>, cut binary")
     return found
 
 
@@ -279,27 +293,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def cut_words(text: bytes, spans: list[int]) -> bytes:
-    """The text without the words of the spans and what stands between them."""
-    bounds = [m.span() for m in _WORD.finditer(text.lower())]
-    parts, at = [], 0
-    for a, b in zip(spans[::2], spans[1::2]):
-        parts.append(text[at: bounds[a][0]])
-        at = bounds[b - 1][1]
-    return b"".join([*parts, text[at:]])
-
-
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with all benchmark spans cut out; other texts and columns stay as they are (n_chars, if there, follows the text)."""
-    found = find_phrases(docs, benchmark, window).select("row", "text", "spans")
-    kind = found.schema["row"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [cut_words(t.as_py(), s) if s else None for t, s in zip(batch.column(1), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["row", "text", "cut"])
-
-    cut = found.mapInArrow(run, f"row {kind}, text binary, cut binary")
+    cut = find_phrases(docs, benchmark, window, cut=True).select("row", "text", "cut")
     text = F.coalesce("cut", "text").cast("string")
     changed = {"text": text}
     if "n_chars" in docs.columns:

@@ -21,14 +21,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plazaflow.llm.common import NO_ID, Bloom, WordHasher, chunks, mix, packed, unpacked, written
+from plazaflow.llm.common import NO_ID, Bloom, WordHasher, mix, packed, text_chunks, unpacked, written
 from plazaflow.llm.components import components
 
 SHINGLE = 3
 PERCENT = 90
 BLOCK_SHINGLES = 2**20  # of the classes in a block of a family, and of the small families in a task
 LEAF, FAN = 16, 8
-SEEN = 1_000_000  # classes whose text a task has sent already; forgotten when there are more
+SEEN = 200_000  # classes whose text a task has sent already; forgotten when there are more
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -118,8 +118,7 @@ def _classes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     """Per document: n and the class (c1, c2)."""
     hasher = WordHasher(~_SPACES)
     for batch in batches:
-        texts = [t.as_py() or b"" for t in batch.column(1)]
-        sets = (s for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher))
+        sets = (s for texts in text_chunks(batch.column(1)) for s in shingle_sets(texts, size, hasher))
         found = [(len(s), *(_digest(s) if len(s) else (0, 0))) for s in sets]
         n, c1, c2 = np.array(found, np.int64).reshape(-1, 3).T
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(c1), pa.array(c2)],
@@ -134,9 +133,8 @@ def _keys(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterato
     """
     hasher, scheme = WordHasher(~_SPACES), Scheme(percent)
     for batch in batches:
-        texts = [t.as_py() or b"" for t in batch.column(0)]
-        for lo, hi in chunks(texts):
-            sets = {_digest(s)[0]: s for s in shingle_sets(texts[lo:hi], size, hasher) if len(s)}
+        for texts in text_chunks(batch.column(0)):
+            sets = {_digest(s)[0]: s for s in shingle_sets(texts, size, hasher) if len(s)}
             if not sets:
                 continue
             ids, keys = np.array(list(sets), np.int64), part_keys(list(sets.values()), scheme)
@@ -145,11 +143,11 @@ def _keys(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterato
             holder = of[at][inverse]
             lead = holder == of
             ties = np.unique(np.stack([ids[of[~lead]], ids[holder[~lead]]]), axis=1)
-            own = np.unique(np.stack([flat[lead].view(np.int64), ids[of[lead]]]), axis=1)
-            other = np.concatenate([np.zeros(own.shape[1], np.int64), ties[1]])
+            n = int(lead.sum())
+            other = np.concatenate([np.zeros(n, np.int64), ties[1]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([own[0], ties[0]])), pa.array(np.concatenate([own[1], ties[0]])),
-                 pa.array(other, mask=np.arange(len(other)) < own.shape[1])], names=["key", "c", "other"])
+                [pa.array(np.concatenate([flat[lead].view(np.int64), ties[0]])), pa.array(np.concatenate([ids[of[lead]], ties[0]])),
+                 pa.array(other, mask=np.arange(len(other)) < n)], names=["key", "c", "other"])
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,8 +252,7 @@ def _task(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
     hasher, a, b = WordHasher(~_SPACES), [], []
     for _, family in pdf.groupby("family", sort=False):
         family = family.drop_duplicates("cid")
-        texts = list(family.text)
-        sets = [s for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher)]
+        sets = [s for texts in text_chunks(pa.array(family.text, pa.binary())) for s in shingle_sets(texts, size, hasher)]
         known = family.known.to_numpy() if "known" in family else None
         label, cid = join_self(sets, percent, known), family.cid.to_numpy()
         heads = {}
@@ -285,8 +282,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         """A text of each class of a family (and of few others), about once per task."""
         hasher, seen = WordHasher(~_SPACES), set()
         for batch in batches:
-            texts = [t.as_py() or b"" for t in batch.column(0)]
-            digests = [_digest(s) if len(s) else (0, 0) for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi], size, hasher)]
+            digests = [_digest(s) if len(s) else (0, 0) for texts in text_chunks(batch.column(0)) for s in shingle_sets(texts, size, hasher)]
             c1, c2 = np.array(digests, np.int64).reshape(-1, 2).T
             if len(seen) > SEEN:
                 seen.clear()
@@ -295,7 +291,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
                 if digests[i] != (0, 0) and digests[i] not in seen:
                     seen.add(digests[i])
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(c1[keep]), pa.array(c2[keep]), pa.array([texts[i] for i in keep], pa.binary())], names=["c1", "c2", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c1[keep]), pa.array(c2[keep]), batch.column(0).take(pa.array(keep, pa.int64()))], names=["c1", "c2", "text"])
 
     texts = docs.select("text").mapInArrow(once, "c1 long, c2 long, text binary")
     # the same plan at every size: texts are shuffled also where the members would fit a broadcast

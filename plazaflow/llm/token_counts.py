@@ -31,7 +31,7 @@ EDIT = "struct<start:bigint,n_delete:bigint,insert:string>"
 class Counter(dict):
     """Pre-token to its tokens, encoded when first asked for; forgets all when it has grown large."""
 
-    def __init__(self, ranks: bytes, pattern: str = PATTERN, most: int = 1_000_000):
+    def __init__(self, ranks: bytes, pattern: str = PATTERN, most: int = 200_000):
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.bpe = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
         self.pattern, self.most = regex.compile(pattern), most

@@ -22,6 +22,7 @@ SAMPLE_WORDS = 8192  # different features of such a document that are used, by s
 DIMENSIONS = 2**22  # of the hashed features
 LIMIT = 0.35  # of the expected grade, from which a text is rejected
 PREFIXES = (4, 5, 6)  # beginnings of words that are features too, since inflected languages have few whole words in common
+KNOWN = 300_000  # words whose features a task remembers
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -35,12 +36,13 @@ class _Features(dict):
     def __init__(self, only: set[int] | None = None):
         self.only = only
 
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) > 500_000:
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > KNOWN:
             self.clear()
         parts = [word, *(f"{word[:k]}-" for k in PREFIXES if len(word) > k)]
         ids = [xxhash.xxh64_intdigest(p) % DIMENSIONS for p in parts]
-        self[word] = ids = [i for i in ids if self.only is None or i in self.only]
+        # most words have no feature in use: they share one empty tuple
+        self[word] = ids = tuple(i for i in ids if self.only is None or i in self.only) or ()
         return ids
 
     def of(self, text: str | None) -> np.ndarray:
