@@ -26,9 +26,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
     "time tt u var wbr img".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: How surely an element holds the article; the surest kind on a page decides.
-CONTAINERS = {"article": 3, "main": 2}
-_CONTENT = re.compile(r"(?:^|[^a-z])(?:article|content|main|post|entry|story)(?:-?(?:body|content|text|main))?(?:$|[^a-z])")
+#: Kinds of elements that may hold the article, the surest first; an element with a name of _CONTENT is of the last.
+ARTICLE, MAIN, NAMED = KINDS = (4, 2, 1)
+_CONTENT = re.compile(r"(?:(?:page|site|blog|news)-)?(?:article|content|main|post|entry|story)(?:-?(?:body|content|text|main))?")
 _WITHOUT = re.compile(r"(?:no|with|has|without)[- ]?(?:sidebar|nav|menu|header|footer|ads?)(?![a-z])")
 # Words in class, id or role that name what is not content.
 _ROLES = re.compile(
@@ -56,11 +56,16 @@ def _is_boilerplate(name: str, attrs: str) -> bool:
     return False
 
 
+def _tokens(attrs: str) -> list[str]:
+    """The whole names in class, id and role."""
+    return [t for m in _ATTR.finditer(attrs) if m[1].lower() in ("class", "id", "role")
+            for t in (m[2] or m[3] or m[4] or "").lower().replace("_", "-").split()]
+
+
 def _container(name: str, attrs: str) -> int:
-    if name in CONTAINERS or name not in ("div", "section", "td"):
-        return CONTAINERS.get(name, 0)
-    return int(any(m[1].lower() in ("class", "id", "role") and _CONTENT.search((m[2] or m[3] or m[4] or "").lower().replace("_", " ")) is not None
-                   for m in _ATTR.finditer(attrs)))
+    if name in ("article", "main"):
+        return ARTICLE if name == "article" else MAIN
+    return NAMED if name in ("div", "section", "td") and any(_CONTENT.fullmatch(t) for t in _tokens(attrs)) else 0
 
 
 def _after_inline(html: str, at: int, name: str) -> int:
@@ -73,11 +78,11 @@ def _after_inline(html: str, at: int, name: str) -> int:
     return at
 
 
-def page_lines(html: str) -> list[tuple[str, int, int]]:
-    """(text, length as content, surest container around it) for each line; boilerplate leaves WINDOW empty lines."""
-    lines: list[tuple[str, int, int]] = []
+def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
+    """(text, length as content, kinds of containers around it, in an h1) for each line; boilerplate leaves WINDOW empty lines."""
+    lines: list[tuple[str, int, int, bool]] = []
     buffer: list[str] = []
-    open_: list[tuple[str, bool, int]] = []  # name, is boilerplate, surest container up to here
+    open_: list[tuple[str, bool, int]] = []  # name, is boilerplate, kinds of containers up to here
     dead, inside, at = 0, 0, 0
 
     def flush() -> None:
@@ -85,7 +90,7 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
             text = _SPACE.sub(" ", unescape("".join(buffer))).strip()
             buffer.clear()
             if text and not dead:
-                lines.append((text, len(text), inside))
+                lines.append((text, len(text), inside, bool(open_) and open_[-1][0] == "h1"))
 
     def leave(upto: int) -> None:
         nonlocal dead, inside
@@ -129,7 +134,7 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
                     was = dead
                     leave(i)
                     if was and not dead:
-                        lines.extend([("", 0, inside)] * WINDOW)
+                        lines.extend([("", 0, inside, False)] * WINDOW)
                     break
             continue
         if name in VOID:
@@ -137,29 +142,32 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and open_ and open_[-1][0] == name:
             leave(len(open_) - 1)  # these end where the next one starts
         own = _is_boilerplate(name, m["attrs"])
-        if own and name == "header" and inside > 1 and not dead:
+        if own and name == "header" and inside & (ARTICLE | MAIN) and not dead:
             own = False  # an article's own header holds its title
         if own and not dead:
-            lines.extend([("", 0, inside)] * WINDOW)
+            lines.extend([("", 0, inside, False)] * WINDOW)
         dead += own
-        inside = max(inside, _container(name, m["attrs"]))
+        inside |= _container(name, m["attrs"])
         open_.append((name, own, inside))
     flush()
     return lines
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    """The text between surges and dives, of the article where the page names one, else of the stretches that matter.
+    """The text between surges and dives, within the surest kind of container that holds at least half of the page's content.
 
-    Without an article, a stretch matters when it is the longest or has a fifth of its length.
+    Without one, a stretch matters when it is the longest or has a fifth of its length.
     """
     if not html:
         return ""
     lines = page_lines(html)
-    surest = max((inside for _, length, inside in lines if length), default=0)
-    lines = [x if x[2] == surest else ("", 0, 0) for x in lines]
-    least = 0.0 if surest else 0.2
     lengths = np.array([x[1] for x in lines], np.int64)
+    inside = np.array([x[2] for x in lines], np.int64)
+    bound = next((k for k in KINDS if 2 * lengths[inside & k > 0].sum() >= lengths.sum()), 0)
+    if bound:
+        # a title may stand before its main or named element; an article has its own
+        lengths *= (inside & bound > 0) | (np.array([x[3] for x in lines]) if bound != ARTICLE else False)
+    least = 0.0 if bound else 0.2
     if not lengths.any():
         return ""
     sums = np.convolve(lengths, np.ones(window, np.int64))[: len(lengths)]  # of the lines i-window+1 .. i

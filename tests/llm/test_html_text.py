@@ -48,3 +48,18 @@ def test_supplied_pages_give_their_articles(spark):
         article = r.html.split("<article>")[1].split("</article>")[0]
         blocks = [" ".join(unescape(re.sub("</?b>", "", b)).split()) for b in re.split("</?(?:p|h1|br)>", article)]
         assert r.text == "\n".join(b for b in blocks if b)
+
+
+def test_container_bounds_only_when_it_holds_most():
+    long = "whole article " * 20
+    cases = {
+        f'<body><div class="entry-title"><h1>T</h1></div><p>{long}</p></body>': f"T\n{long.strip()}",
+        f'<div class="post-meta">by me</div><div class="main-image">a view</div><div class="story-lead">{long}</div><p>end</p>':
+            f"by me\na view\n{long.strip()}\nend",
+        f"<article>teaser</article><main><p>{long}</p></main>": long.strip(),
+        f"<article>teaser</article><div class='content'><p>{long}</p></div>": long.strip(),
+        f"<div class='title'><h1>T</h1></div><div class='entry-content'><p>{long}</p></div><p>out": f"T\n{long.strip()}",
+        f"<article>teaser</article><div><p>{long}</p><p>{long}</p></div>": f"teaser\n{long.strip()}\n{long.strip()}",
+    }
+    for html, want in cases.items():
+        assert main_text(html) == want, html
