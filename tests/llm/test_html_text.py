@@ -63,3 +63,19 @@ def test_container_bounds_only_when_it_holds_most():
     }
     for html, want in cases.items():
         assert main_text(html) == want, html
+
+
+def test_names_count_as_whole_and_never_take_the_article():
+    long = "whole article " * 20
+    kept = ["<article class='post has-comments'>", "<article class='post comments-open'>", "<div class='content with-comments'>",
+            "<div id='search-results-page'>", "<article class='share'>", "<main class='widget'>", "<div class='widget'>", "<section class='comments'><h1>"]
+    for tag in kept:
+        assert main_text(f"<body>{tag}<p>{long}</p></body>") == long.strip(), tag
+    for tag in ("section id='related-work'", "p class='legal'", "p class='navy'", "figcaption", "dialog", "button"):
+        assert main_text(f"<article><p>{long}</p><{tag}>more</{tag.split()[0]}></article>") == f"{long.strip()}\nmore", tag
+    for tag in ("div class='comments-area'", "div id='site-footer'", "div class='x cookie_notice'", "p class=ad", "section class='main-menu'",
+                "div class=related-posts", "div role=navigation"):
+        assert main_text(f"<p>{long}</p><{tag}>gone</{tag.split()[0]}><p>end") == f"{long.strip()}\nend", tag
+    assert main_text(f"<article>short</article><div id=comments><article class=comment>{long}</article></div>") == "short"
+    assert main_text("<article><div class='entry-header'><h2>t</h2></div><p>b</article>") == "t\nb"
+    assert main_text(f"<div class='widget'><h1>T</h1><p>{long}</p><div class=ad>{long}</div></div><p>end") == f"T\n{long.strip()}\nend"
