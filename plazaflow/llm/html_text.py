@@ -182,10 +182,7 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    """The text between surges and dives, within the surest kind of container that holds at least half of the page's content.
-
-    Without one, a stretch matters when it is the longest or has a fifth of its length.
-    """
+    """The text between surges and dives, within the surest kind of container that holds at least half of the page's content."""
     if not html:
         return ""
     lines = page_lines(html)
@@ -195,7 +192,6 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
     if bound:
         # a title may stand before its main or named element; an article has its own
         lengths *= (inside & bound > 0) | (np.array([x[3] for x in lines]) if bound != ARTICLE else False)
-    least = 0.0 if bound else 0.2
     if not lengths.any():
         return ""
     sums = np.convolve(lengths, np.ones(window, np.int64))[: len(lengths)]  # of the lines i-window+1 .. i
@@ -203,9 +199,7 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
     surge = np.flatnonzero(busy & ~np.concatenate([[False], busy[:-1]]))
     dive = np.flatnonzero(~busy & np.concatenate([[False], busy[:-1]]))
     ends = np.concatenate([dive, [len(lengths)]])[: len(surge)]
-    sizes = np.array([lengths[a:b].sum() for a, b in zip(surge, ends)])
-    kept = [lines[i][0] for a, b, s in zip(surge, ends, sizes) if s >= least * sizes.max() for i in range(a, b) if lengths[i]]
-    return "\n".join(kept)
+    return "\n".join(lines[i][0] for a, b in zip(surge, ends) for i in range(a, b) if lengths[i])
 
 
 def extract(pages: DataFrame) -> DataFrame:

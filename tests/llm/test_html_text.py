@@ -79,3 +79,10 @@ def test_names_count_as_whole_and_never_take_the_article():
     assert main_text(f"<article>short</article><div id=comments><article class=comment>{long}</article></div>") == "short"
     assert main_text("<article><div class='entry-header'><h2>t</h2></div><p>b</article>") == "t\nb"
     assert main_text(f"<div class='widget'><h1>T</h1><p>{long}</p><div class=ad>{long}</div></div><p>end") == f"T\n{long.strip()}\nend"
+
+
+def test_text_around_a_removed_element_stays():
+    long, short = "x" * 1000, "y" * 100
+    for gone in ("<div class=ad>a</div>", "<div class='notice'>a<p>b<p>c<p>d</div>", "<form><p>a</form>", "<div hidden>a</div>", "<aside>a</aside>"):
+        assert main_text(f"<p>{long}</p>{gone}<p>{short}</p>") == f"{long}\n{short}", gone
+        assert main_text(f"<p>t</p>{gone}<p>{long}</p>{gone}<p>.</p>") == f"t\n{long}\n.", gone
