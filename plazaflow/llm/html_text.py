@@ -1,10 +1,10 @@
 """Main text of a page by the distribution of its lines.
 
-Markup is stripped into lines, one per block. Each line gets the length of its text as far as
-it can be content: what stands in menus, footers, forms and the like counts nothing, and each
-such element leaves empty lines behind. Lengths are summed over sliding windows of lines. The
-sum surges where text begins and dives where a window holds none; what lies between a surge
-and the next dive is kept as a stretch.
+Markup is stripped into lines, one per block, without menus, footers, forms and the like. Each line
+has the length of its text in links and outside of them; a heading's links count as text. Both are
+summed over sliding windows of lines. The text dives where a window holds more link text than other
+text and surges where it does not. In a dive the lines that are mostly links go; lines of other text
+stay wherever they stand.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|"
     r"<[A-Za-z][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -87,7 +89,7 @@ def _without(lines: list[tuple[str, int, int, bool]], named: list[tuple[int, int
     """
     if not named:
         return lines
-    before = np.concatenate([[0], np.cumsum([x[1] for x in lines], dtype=np.int64)])
+    before = np.concatenate([[0], np.cumsum([len(x[0]) for x in lines], dtype=np.int64)])
     edges = np.zeros(len(lines) + 1, np.int64)
     for start, end, own in named:
         size = before[end] - before[start]
@@ -96,27 +98,39 @@ def _without(lines: list[tuple[str, int, int, bool]], named: list[tuple[int, int
         edges[start] += 1
         edges[end] -= 1
     gone = np.cumsum(edges)[:-1] > 0
-    return [("", 0, *x[2:]) if g else x for x, g in zip(lines, gone)]
+    return [x for x, g in zip(lines, gone) if not g]
 
 
 def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
-    """(text, length as content, kinds of containers around it, in an h1) for each line; what is surely boilerplate leaves WINDOW empty lines."""
+    """(text, length of it in links, kinds of containers around it, in an h1) for each line that is not surely boilerplate."""
     lines: list[tuple[str, int, int, bool]] = []
     named: list[tuple[int, int, int]] = []  # first line, end and landmarks of each element that its names make boilerplate
     buffer: list[str] = []
+    linked: list[str] = []  # what of the buffer stands in links
+    link = 0  # open elements around the open link and the link itself; 0 without one
     # name, is boilerplate, kinds of containers up to here, first line and landmarks before if its names make it boilerplate
     open_: list[tuple[str, bool, int, tuple[int, int] | None]] = []
     dead, inside, at, landmarks = 0, 0, 0, 0
 
+    def add(piece: str) -> None:
+        buffer.append(piece)
+        if link:
+            linked.append(piece)
+
     def flush() -> None:
         if buffer:
             text = _SPACE.sub(" ", unescape("".join(buffer))).strip()
+            in_links = len(_SPACE.sub(" ", unescape("".join(linked))).strip()) if linked else 0
             buffer.clear()
+            linked.clear()
             if text and not dead:
-                lines.append((text, len(text), inside, bool(open_) and open_[-1][0] == "h1"))
+                block = open_[-1][0] if open_ else ""
+                lines.append((text, 0 if block in HEADINGS else min(in_links, len(text)), inside, block == "h1"))
 
     def leave(upto: int) -> None:
-        nonlocal dead, inside
+        nonlocal dead, inside, link
+        if upto < link - 1:
+            link = 0  # never closed
         while len(open_) > upto:
             _, own, _, role = open_.pop()
             dead -= own
@@ -128,13 +142,13 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
     while at < n:
         cut = html.find("<", at)
         if cut < 0:
-            buffer.append(html[at:])
+            add(html[at:])
             break
         if cut > at:
-            buffer.append(html[at:cut])
+            add(html[at:cut])
         m = _TOKEN.match(html, cut)
         if m is None:  # a bare <
-            buffer.append("<")
+            add("<")
             at = cut + 1
             continue
         at = m.end()
@@ -152,15 +166,15 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
             # an inline advert or hidden note is skipped up to its end tag; other inline markup has no effect
             if not m["end"] and name not in VOID and m["attrs"].strip() and (_is_hidden(name, m["attrs"]) or _has_role(name, m["attrs"], inside)):
                 at = _after_inline(html, at, name)
+            elif name == "a":
+                follows = None if m["end"] or not _HREF.search(m["attrs"]) else _LINK.search(html, at)
+                link = len(open_) + 1 if follows and follows[1] else 0
             continue
         flush()
         if m["end"]:
             for i in range(len(open_) - 1, -1, -1):
                 if open_[i][0] == name:
-                    was = dead
                     leave(i)
-                    if was and not dead:
-                        lines.extend([("", 0, inside, False)] * WINDOW)
                     break
             continue
         if name in VOID:
@@ -169,8 +183,6 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
             leave(len(open_) - 1)  # these end where the next one starts
         own = name in BOILERPLATE and not (name == "header" and inside & (ARTICLE | MAIN)) or _is_hidden(name, m["attrs"])
         role = not own and not dead and _has_role(name, m["attrs"], inside)
-        if own and not dead:
-            lines.extend([("", 0, inside, False)] * WINDOW)
         dead += own
         inside |= _container(name, m["attrs"])
         if name in ("article", "main", "h1") and not dead and not role:
@@ -182,24 +194,28 @@ def page_lines(html: str) -> list[tuple[str, int, int, bool]]:
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    """The text between surges and dives, within the surest kind of container that holds at least half of the page's content."""
-    if not html:
+    """The lines of text and what stands between surge and dive of the window sums, within the surest kind of container with half of the content.
+
+    A page that is all links has no text to tell from them, so its lines stay.
+    """
+    lines = page_lines(html) if html else []
+    if not lines:
         return ""
-    lines = page_lines(html)
-    lengths = np.array([x[1] for x in lines], np.int64)
+    links = np.array([x[1] for x in lines], np.int64)
+    plain = np.array([len(x[0]) for x in lines], np.int64) - links
     inside = np.array([x[2] for x in lines], np.int64)
-    bound = next((k for k in KINDS if 2 * lengths[inside & k > 0].sum() >= lengths.sum()), 0)
+    size = plain if plain.any() else links
+    bound = next((k for k in KINDS if 2 * size[inside & k > 0].sum() >= size.sum()), 0)
+    kept = np.ones(len(lines), bool)
     if bound:
         # a title may stand before its main or named element; an article has its own
-        lengths *= (inside & bound > 0) | (np.array([x[3] for x in lines]) if bound != ARTICLE else False)
-    if not lengths.any():
-        return ""
-    sums = np.convolve(lengths, np.ones(window, np.int64))[: len(lengths)]  # of the lines i-window+1 .. i
-    busy = sums > 0
-    surge = np.flatnonzero(busy & ~np.concatenate([[False], busy[:-1]]))
-    dive = np.flatnonzero(~busy & np.concatenate([[False], busy[:-1]]))
-    ends = np.concatenate([dive, [len(lengths)]])[: len(surge)]
-    return "\n".join(lines[i][0] for a, b in zip(surge, ends) for i in range(a, b) if lengths[i])
+        kept = (inside & bound > 0) | (np.array([x[3] for x in lines]) if bound != ARTICLE else False)
+    lines, links, plain = [x for x, k in zip(lines, kept) if k], links[kept], plain[kept]
+    if len(lines) >= window and plain.any():
+        dive = np.convolve(links - plain, np.ones(window, np.int64), "valid") > 0  # of the lines i .. i+window-1
+        dived = np.convolve(dive, np.ones(window, np.int64)) > 0
+        lines = [x for x, d, of_links in zip(lines, dived, links > plain) if not (d and of_links)]
+    return "\n".join(x[0] for x in lines)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -86,3 +86,19 @@ def test_text_around_a_removed_element_stays():
     for gone in ("<div class=ad>a</div>", "<div class='notice'>a<p>b<p>c<p>d</div>", "<form><p>a</form>", "<div hidden>a</div>", "<aside>a</aside>"):
         assert main_text(f"<p>{long}</p>{gone}<p>{short}</p>") == f"{long}\n{short}", gone
         assert main_text(f"<p>t</p>{gone}<p>{long}</p>{gone}<p>.</p>") == f"t\n{long}\n.", gone
+
+
+def test_window_sums_tell_link_lists_from_text():
+    a = "<a href='/x'>a link of a menu</a>"
+    text, links = "<p>a paragraph of some words, and more words</p>", f"<div><ul>{f'<li>{a}' * 6}</ul></div>"
+    p, at = "a paragraph of some words, and more words", "a link of a menu"
+    cases = {
+        links + text * 2 + links: [p, p], f"{text}{links}<p>end": [p, "end"], f"{links}<p>x</p>{links}": ["x"], f"{text}<p>{a}</p>{text}": [p, at, p],
+        f"<h1>{a}</h1>{text}<p>see {a} and {a} for more of this and that": [at, p, f"see {at} and {at} for more of this and that"],
+        f"{text}<p>{a}": [p, at], f"{links}": [at] * 6, f"<article>{text}{links}{text}</article>": [p, p],
+        f"<div><a name=x>{text}<p>b<p>c<p>d</div>": [p, "b", "c", "d"], f"{text}<a href=x><p>b<p>c<p>d<p>e": [p, "b", "c", "d", "e"],
+        f"<div><a href=x>{'<div>card</div>' * 4}</a></div>{text}": [p], f"<nav>{links}</nav>{text}<footer>{a}</footer>": [p],
+    }
+    for html, want in cases.items():
+        assert main_text(html) == "\n".join(want), html
+    assert main_text(f"{text}<p>{a}<p>{a}<p>{a}</p>{text}", 3) != main_text(f"{text}<p>{a}<p>{a}<p>{a}</p>{text}", 5)
