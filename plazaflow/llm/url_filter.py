@@ -14,6 +14,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Suffixes of more than one label under which names are registered; else the last label is the suffix.
 SUFFIXES = ("example.com", "example.net", "example.org")
+# Common ones of real urls, by their last label: second levels of countries, then hosts of other people's sites.
+_SECOND_LEVELS = {
+    "ae": "ac co gov mil net org sch", "ar": "com edu gob gov int mil net org tur", "at": "ac co gv or", "au": "asn com edu gov id net org",
+    "bd": "ac com edu gov net org", "bh": "com edu gov net org", "bo": "com edu gob net org",
+    "br": "adv art blog com eco edu eng gov ind inf jus leg mil net org tv", "cn": "ac com edu gov mil net org", "co": "com edu gov mil net nom org",
+    "cr": "ac co ed fi go or", "cy": "ac com gov net org", "do": "com edu gob gov net org", "ec": "com edu fin gob gov info med net org",
+    "eg": "com edu eun gov net org sci", "fj": "ac com gov net org", "gh": "com edu gov org", "gr": "com edu gov net org", "gt": "com edu gob net org",
+    "hk": "com edu gov idv net org", "hu": "co info org", "id": "ac co desa go mil my net or sch web", "il": "ac co gov idf k12 muni net org",
+    "in": "ac co edu firm gen gov ind mil net nic org res", "ir": "ac co gov id net org sch", "jp": "ac ad co ed go gr lg ne or",
+    "ke": "ac co go info me ne or sc", "kr": "ac co es go hs kg mil ms ne or pe re sc", "kw": "com edu gov net org", "lb": "com edu gov net org",
+    "lk": "ac com edu gov net org sch", "ma": "ac co gov net org press", "mt": "com edu net org", "mx": "com edu gob net org",
+    "my": "com edu gov mil name net org", "mz": "ac co gov net org", "ng": "com edu gov mil mobi name net org sch", "ni": "ac co com edu gob net org",
+    "np": "com edu gov net org", "nz": "ac co cri geek gen govt health iwi kiwi maori mil net org parliament school", "om": "co com edu gov net org",
+    "pa": "ac com edu gob net org", "pe": "com edu gob mil net nom org", "ph": "com edu gov mil net ngo org", "pk": "com edu fam gob gov net org web",
+    "pl": "com edu gov info net org waw", "pr": "com edu gov net org", "pt": "com edu gov net org", "py": "com coop edu gov mil net org",
+    "qa": "com edu gov net org sch", "ro": "com info org store www", "rs": "ac co edu gov in org", "sa": "com edu gov med net org pub sch",
+    "sg": "com edu gov net org per", "sv": "com edu gob org red", "th": "ac co go in mi net or", "tn": "com gov ind info net org",
+    "tr": "av bel bbs biz com dr edu gen gov info k12 mil name net org pol tel tv web", "tw": "club com ebiz edu game gov idv mil net org",
+    "tz": "ac co go me mil ne or sc", "ua": "com edu gov in kiev kyiv lviv net odesa org", "ug": "ac co com go ne or org sc",
+    "uk": "ac co gov ltd me net nhs org plc police sch", "uy": "com edu gub mil net org", "uz": "co com net org", "ve": "co com edu gob gov info net org web",
+    "vn": "ac com edu gov info name net org pro", "za": "ac co edu gov law mil net nom org school web", "zm": "ac co com edu gov net org", "zw": "ac co gov mil org",
+    "app": "netlify vercel web", "com": "appspot blogspot firebaseapp herokuapp", "dev": "pages workers", "io": "github gitlab", "net": "azurewebsites cloudfront",
+}
+PUBLIC_SUFFIXES = tuple(f"{label}.{last}" for last, labels in _SECOND_LEVELS.items() for label in labels.split())
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -34,7 +58,7 @@ def longest_rule(rules: tuple[tuple[str, str], ...] = RULES) -> Column:
     return cases
 
 
-def with_levels(df: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def with_levels(df: DataFrame, suffixes: tuple[str, ...] = SUFFIXES + PUBLIC_SUFFIXES) -> DataFrame:
     """Adds suffix and registered domain of the host (the host itself where it has no more labels)."""
     known = "|".join(s.replace(".", r"\.") for s in suffixes)
     suffix = F.regexp_extract("host", rf"(?:^|\.)({known}|[^.]+)$", 1) if known else F.regexp_extract("host", r"([^.]+)$", 1)
@@ -78,8 +102,8 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     return hosts.select("host", "n", "bad", "p", (F.col("p") - z * spread).alias("low"))
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, suffixes: tuple[str, ...] = SUFFIXES,
-               limit: float = 0.25, z: float = 1.645) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES,
+               suffixes: tuple[str, ...] = SUFFIXES + PUBLIC_SUFFIXES, limit: float = 0.25, z: float = 1.645) -> DataFrame:
     """Verdict of each page: the longest fitting rule's, else block where the host's bound is above `limit`.
 
     pages: page_id, url; labels: doc_id, quality, toxic. A page's outcome is bad when the document
