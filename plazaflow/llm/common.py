@@ -145,3 +145,25 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[list[byte
         total += size
     if lo < len(sizes):
         yield [t or b"" for t in column.slice(lo).to_pylist()]
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "idx") -> DataFrame:
+    """`df` written with `name`: each row's 0-based place in its group of `keys` (nulls form a group) by `order`.
+
+    Spark's range exchange spreads even a group of a third of all rows over many tasks; a row's place is the
+    rows of its group in earlier partitions (a table of at most partitions + groups rows) plus its place in
+    its own sorted partition. The numbers are stored, so a lost executor cannot renumber them.
+    """
+    spark = df.sparkSession
+    by = [F.col(k) for k in keys] + order
+    ranged = (df.repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by)
+              .withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id()))
+    table = written(ranged, "numbered")
+    from pyspark.sql import Window
+
+    starts = table.groupBy("_pid", *keys).agg(F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    on = [table["_pid"] == starts["_pid"]] + [table[k].eqNullSafe(starts[k]) for k in keys]
+    out = table.join(starts, on).select(table["*"], (starts["_before"] + table["_mono"] - starts["_first"]).alias(name))
+    return out.drop("_pid", "_mono")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plazaflow.llm import curriculum, decontaminate, exact_dedup, html_text, line_dedup, secrets, shingle_join, token_counts, toxicity, url_filter
+from plazaflow.llm import (curriculum, decontaminate, exact_dedup, html_text, line_dedup, merkle, secrets, shingle_join, token_counts, toxicity,
+                           url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,6 +192,12 @@ def op10(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_merkle_manifest")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
