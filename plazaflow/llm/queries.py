@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plazaflow.llm import (curriculum, decontaminate, exact_dedup, html_text, line_dedup, merkle, secrets, shingle_join, token_counts, toxicity,
+from plazaflow.llm import (curriculum, decontaminate, exact_dedup, html_text, line_dedup, merkle, quality_rules, secrets, shingle_join, token_counts, toxicity,
                            url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +198,13 @@ def op11(spark, sf_dir):
     return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query("op13_quality_rules")
+def op13(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
