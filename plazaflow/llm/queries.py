@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plazaflow.llm import (curriculum, decontaminate, exact_dedup, html_text, line_dedup, merkle, quality_rules, secrets, shingle_join, token_counts, toxicity,
-                           url_filter)
+                           url_filter, vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -198,6 +198,12 @@ def op11(spark, sf_dir):
     return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query("op12_vector_codes")
+def op12(spark, sf_dir):
+    coded, _ = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 @query("op13_quality_rules")
 def op13(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
