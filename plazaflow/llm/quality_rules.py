@@ -30,7 +30,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plazaflow.llm.common import numbered
+from plazaflow.llm.common import numbered, written
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -153,7 +153,7 @@ def judge(docs: DataFrame, labels: DataFrame, strata: str = "lang") -> DataFrame
     measured = docs.select(F.col("`doc_id`").alias("doc_id"), F.col(f"`{strata}`").alias("stratum"),
                            base_measures(F.col("`text`")).alias("b")).select("doc_id", "stratum", "b.*")
     measured = measured.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    measured = measured.select("*", *[c.alias(k) for k, c in ratios().items()])
+    measured = written(measured.select("*", *[c.alias(k) for k, c in ratios().items()]), "quality-measured")
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         (F.min("quality") == 1).alias("good"))
     holdout = measured.where(~F.col("base_failed")).join(good.where("good"), "doc_id", "left_semi")
