@@ -15,13 +15,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plazaflow.llm.common import packed, unpacked
+from plazaflow.llm.common import discard, packed, unpacked, written
 
 SAMPLE = 8192  # labelled documents to fit on, those with the smallest hash of their id
-SAMPLE_WORDS = 8192  # different features of such a document that are used, by smallest hash
 DIMENSIONS = 2**22  # of the hashed features
 LIMIT = 0.35  # of the expected grade, from which a text is rejected
 PREFIXES = (4, 5, 6)  # beginnings of words that are features too, since inflected languages have few whole words in common
+LEAST_DOCS = 4  # labelled documents a feature must stand in to be used
+LEAST_Z = 3.0  # standard errors its mean residual must stand from 0
 KNOWN = 300_000  # words whose features a task remembers
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -108,22 +109,27 @@ def _minimized(f, x: np.ndarray, rounds: int = 200, memory: int = 10) -> np.ndar
     return x
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, least_z: float = 3.0, least_docs: int = 4, l2: float = 1e-4) -> OrdinalModel:
+def _without_words(grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The model without words: thresholds at the (smoothed) shares of the grades above, and the residual of each grade."""
+    n, top = len(grades), max(int(grades.max()), 1) if len(grades) else 1
+    above = np.array([((grades > k).sum() + 0.5) / (n + 1) for k in range(top)])
+    above = np.minimum(above, above[0] * 0.98 ** np.arange(top))
+    share = np.concatenate([[1.0], above, [0.0]])
+    slope = np.concatenate([[0.0], above * (1 - above), [0.0]])
+    return np.log((1 - above) / above), (slope[:-1] - slope[1:]) / np.maximum(share[:-1] - share[1:], 1e-12)
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, least_z: float = LEAST_Z, least_docs: int = LEAST_DOCS, l2: float = 1e-4) -> OrdinalModel:
     """The ordered model on the words that tell grades apart.
 
     rows are arrays of feature ids. A word is used when it stands in `least_docs` rows and their
     mean residual under the model without words is `least_z` standard errors from 0.
     """
-    n, top = len(rows), max(int(grades.max()), 1) if len(grades) else 1
+    n = len(rows)
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
     of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
-    # the model without words: thresholds at the (smoothed) shares of the grades above
-    above = np.array([((grades > k).sum() + 0.5) / (n + 1) for k in range(top)])
-    above = np.minimum(above, above[0] * 0.98 ** np.arange(top))
-    theta = np.log((1 - above) / above)
-    share = np.concatenate([[1.0], above, [0.0]])
-    slope = np.concatenate([[0.0], above * (1 - above), [0.0]])
-    residual = ((slope[:-1] - slope[1:]) / np.maximum(share[:-1] - share[1:], 1e-12))[grades]
+    theta, by_grade = _without_words(grades)
+    residual = by_grade[grades]
     used, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
     z = np.bincount(inverse, residual[of], len(used)) / np.sqrt(count * max(residual.var(), 1e-12)) if n else np.zeros(0)
     keep = (count >= least_docs) & (np.abs(z) >= least_z)
@@ -141,15 +147,24 @@ def severity_grade() -> Column:
     return F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic").isNotNull(), 0)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    features = _Features()
-    for batch in batches:
-        feats = [features.of(t.as_py())[:SAMPLE_WORDS].astype(np.int32) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feats, pa.list_(pa.int32()))], names=["grade", "features"])
+def _featured(only=None):
+    """Batches of (grade, text) to (grade, features): all different features of each whole text, or those in `only`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = _Features(None if only is None else only.value)
+        for batch in batches:
+            feats = [features.of(t.as_py()).astype(np.int32) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feats, pa.list_(pa.int32()))], names=["grade", "features"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, sample: int = SAMPLE) -> OrdinalModel:
-    """Fits on at most `sample` labelled documents with at most SAMPLE_WORDS features each: what the driver gets is bounded.
+    """Fits on at most `sample` labelled documents, each by all features of its whole text.
+
+    Spark counts every feature of the sample and keeps those that `fit` would choose (least_docs, least_z); only these
+    come back per document, so the driver holds the grades of the sample, at most DIMENSIONS kept ids, and the kept
+    features of each sampled document, which are what the fit needs.
 
     labels: doc_id and the columns of `grade`, an integer from 0 up; rows without id or grade are
     passed over, as are labels of missing documents. Several labels of a document: the largest holds.
@@ -160,7 +175,18 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, sampl
     there = docs.select("doc_id").where("doc_id is not null").distinct()
     chosen = known.join(there, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("grade").alias("grade"))
-    got = rows.select("grade", "text").mapInArrow(_features, "grade int, features array<int>").toArrow()
+    rows = written(rows.select("grade", "text"), "toxicity_sample")
+    grades = np.array([r.grade for r in rows.select("grade").collect()], np.int64)  # at most `sample`
+    _, by_grade = _without_words(grades)
+    spread = max(by_grade[grades].var(), 1e-12) if len(grades) else 1e-12
+    residual = F.element_at(F.array(*[F.lit(float(v)) for v in by_grade]), F.col("grade") + 1)
+    every = rows.mapInArrow(_featured(), "grade int, features array<int>")
+    stats = every.select(F.explode("features").alias("feature"), residual.alias("residual")).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("residual").alias("total"))
+    kept = stats.where((F.col("n") >= LEAST_DOCS) & (F.abs(F.col("total") / F.sqrt(F.col("n") * F.lit(spread))) >= LEAST_Z))
+    only = docs.sparkSession.sparkContext.broadcast({r.feature for r in kept.select("feature").collect()})  # at most DIMENSIONS
+    got = rows.mapInArrow(_featured(only), "grade int, features array<int>").toArrow()
+    discard(rows)
     grades, lists = got.column("grade").to_numpy(), got.column("features").combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
     table = [flat[a - ends[0]: b - ends[0]] for a, b in zip(ends, ends[1:])]

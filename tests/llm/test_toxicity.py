@@ -41,3 +41,26 @@ def test_awkward_tables(spark):
     kept = tx.without_toxic(docs, labels.where("false"))
     assert kept.columns == docs.columns and kept.count() <= 6
     assert tx.without_toxic(docs.where("false"), labels).collect() == []
+
+
+def test_whole_texts_are_fitted(spark):
+    """The features chosen on Spark are those `fit` chooses from all features of the whole texts: a marker word after
+    some 20,000 filler words of one long text still counts."""
+    rng = np.random.default_rng(5)
+    filler = " ".join(f"filler{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(20000))
+    texts, grades = [], []
+    for i in range(60):
+        toxic = i % 3 == 0
+        words = " ".join(rng.choice(["plain", "words", "here", "today", "table"], 8))
+        texts.append((filler + " " if i == 0 else "") + words + (" zonkmark" if toxic else ""))
+        grades.append(int(toxic))
+    ids = list(range(1, 61))
+    docs = docs_frame(spark, texts, ids)
+    labels = spark.createDataFrame([(d, 1, g) for d, g in zip(ids, grades)], "doc_id long, quality int, toxic int")
+    model = tx.train(docs, labels)
+    features = tx._Features()
+    order = sorted(range(60), key=lambda i: (grades[i], features.of(texts[i]).astype(np.int32).tobytes()))
+    plain = tx.fit([features.of(texts[i]).astype(np.int32) for i in order], np.array(grades)[order])
+    assert np.flatnonzero(model.weights).tolist() == np.flatnonzero(plain.weights).tolist()
+    assert np.allclose(model.weights, plain.weights, atol=1e-6) and np.allclose(model.thresholds, plain.thresholds)
+    assert model.weights[features.of("zonkmark")].sum() > 0
