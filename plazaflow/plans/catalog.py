@@ -282,13 +282,20 @@ def _(s):
 TEXT_CELLS = """SELECT doc_id, text, replace(coalesce(source, ''), 'src', 'a \\"b\\" ') AS note FROM documents""".replace("\\", "")
 
 
-@query("s3_quoted_cells", f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(text) AS n_chars, md5(text) AS digest, note
-    FROM ({TEXT_CELLS}) WHERE text <> ''""")
+def _landed_sql(name: str) -> str:
+    """A cell as a drop lands it: null when its text counts as missing."""
+    listed = ", ".join("'" + m.replace("'", "''") + "'" for m in drops.MISSING)
+    return f"CASE WHEN {name} IN ({listed}) THEN NULL ELSE {name} END"
+
+
+@query("s3_quoted_cells", f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, length(t) AS n_chars, md5(t) AS digest, n AS note
+    FROM (SELECT doc_id, {_landed_sql('text')} AS t, {_landed_sql('note')} AS n FROM ({TEXT_CELLS}))""")
 def _(s):
-    """Whole document texts as cells: quotes, line breaks, commas and backslashes come back as they went."""
+    """Whole document texts as cells, null and empty ones too: quotes, line breaks, commas and backslashes come back as
+    they went; a null, empty or missing-marker cell lands as null (n_chars and digest null)."""
     folder, columns = scratch(s, "quoted"), ["doc_id", "text", "note"]
     note = F.replace(F.coalesce("source", F.lit("")), F.lit("src"), F.lit('a "b" '))
-    cells = s.table("documents").where("text <> ''").select(F.col("doc_id").cast("string").alias("doc_id"), "text", note.alias("note"))
+    cells = s.table("documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", note.alias("note"))
     cells.write.options(**drops.CSV_OPTIONS).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(folder)
     read = drops.read_drop(s.spark, folder, "*.csv", columns, multi_line=True)
