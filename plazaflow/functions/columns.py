@@ -73,6 +73,11 @@ def month_start(col: Column | str) -> Column:
     return F.trunc(_col(col), "MM")
 
 
+def hashed(cols: list[str], seed: int) -> Column:
+    """64 bits of the columns, another value for each seed; a null counts as a value of its own."""
+    return F.xxhash64(F.lit(seed), *[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
 

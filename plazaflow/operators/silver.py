@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import (
@@ -39,27 +44,47 @@ def with_refund(df: DataFrame) -> DataFrame:
     return df.withColumn("is_refund", F.col("qty") < 0)
 
 
+def beaten_in_batch(n_keys: int) -> Callable[..., pa.Array]:
+    """Of arrays of keys and then of order columns: which rows have a copy before them in the batch (nulls first, as in Spark)."""
+    def beaten(*columns: pa.Array) -> pa.Array:
+        n = len(columns[0])
+        names = [str(i) for i in range(len(columns))]
+        rows = pa.table([*columns, pa.array(np.arange(n))], names=[*names, "row"])
+        groups = rows.group_by(names[:n_keys], use_threads=False)
+        if len(counts := groups.aggregate([("row", "count")])) == n:
+            return pa.array(np.zeros(n, dtype=bool))
+        lists = groups.aggregate([("row", "list")])["row_list"].filter(pc.greater(counts["row_count"], 1)).combine_chunks()
+        copies = rows.select(names[n_keys:]).take(lists.flatten()).append_column("row", lists.flatten()).append_column(
+            "group", pc.list_parent_indices(lists))
+        by = [(c, "ascending") for c in ["group", *names[n_keys:]]]
+        place = pc.sort_indices(copies, sort_keys=by, null_placement="at_start")
+        group, row = (copies[c].take(place).to_numpy() for c in ("group", "row"))
+        out = np.zeros(n, dtype=bool)
+        out[row[1:][group[1:] == group[:-1]]] = True
+        return pa.array(out)
+
+    return beaten
+
+
 def with_duplicate_flag(
     df: DataFrame, keys: list[str] = POS_DUPLICATE_KEY, order: list[str] = POS_ORDER, lanes: int | None = None
 ) -> DataFrame:
     """Flags the second and later copy of a key (null equals null); the first is kept.
 
-    Copies are first ranked within lanes taken from the input partition, then only
-    the lane winners of a key meet. There are as many lanes as shuffle partitions, so a
-    key that makes up a large part of the table is spread over all tasks however
-    large it is, and no copy is lost.
+    Copies are first ranked within the Arrow batch they are read in, which moves no rows; then only
+    the batch winners of a key meet, in the one shuffle of the table. The other copies are spread over
+    as many lanes as shuffle partitions, so a key that makes up a large part of the table sends one
+    row a batch to its task however large it is, and no copy is lost.
     """
     lanes = lanes or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
-    local = df.withColumn("_lane", lane).withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*keys, "_lane").orderBy(*order))
-    )
-    seat = F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_lane"))
-    ranked = local.withColumn("_seat", seat).withColumn(
+    beaten = F.arrow_udf(beaten_in_batch(len(keys)), "boolean").asNondeterministic()  # depends on the batch a row is in
+    local = df.withColumn("_beaten", beaten(*keys, *order))
+    ranked = local.withColumn("_seat", F.when(F.col("_beaten"), lane).otherwise(F.lit(-1))).withColumn(
         "_final", F.row_number().over(Window.partitionBy(*keys, "_seat").orderBy(*order))
     )
-    again = (F.col("_local") > 1) | (F.col("_final") > 1)
-    return ranked.withColumn("is_duplicate", again).drop("_lane", "_local", "_seat", "_final")
+    again = F.col("_beaten") | (F.col("_final") > 1)
+    return ranked.withColumn("is_duplicate", again).drop("_beaten", "_seat", "_final")
 
 
 def pos_silver(raw: DataFrame) -> DataFrame:

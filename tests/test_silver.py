@@ -35,6 +35,29 @@ def test_duplicates_keep_one_copy_even_when_one_key_is_most_of_the_table(spark):
     assert {r["key"]: r["f"] for r in kept if r["key"] in ("hot", "k1")} == {"hot": "f0", "k1": "f0"}
 
 
+def test_duplicate_flag_shuffles_each_row_once_and_gives_the_order_of_one_sort(spark):
+    from pyspark.sql import Window
+
+    rows = [(None if i % 4 == 0 else f"k{i % 37}", None if i % 3 == 0 else i % 5, None if i % 7 == 0 else f"f{i % 11}", f"{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "key string, other int, file string, id string").repartition(5)
+    out = sv.with_duplicate_flag(df, ["key", "other"], ["file", "id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(key") == 1
+    first = F.row_number().over(Window.partitionBy("key", "other").orderBy("file", "id"))
+    want = df.withColumn("is_duplicate", first > 1)
+    assert out.exceptAll(want).count() == want.exceptAll(out).count() == 0
+
+
+def test_wide_keys_are_counted_by_their_hash(spark):
+    from plazaflow.operators import quality as dq
+
+    rows = [("ab", None, "c", 1, 2), ("ab", "c", None, 1, 2), ("a", "bc", None, 1, 2), (None, None, None, 1, 2), (None, None, None, 1, 2), ("x", "y", "z", 3, 4)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d int, e int")
+    check = dq.check_unique("u", df, ["a", "b", "c", "d", "e"])
+    assert check.first()["actual_value"] == "1" and dq.check_unique("u", df.dropDuplicates(), list("abcde")).first()["status"] == "pass"
+    assert "Exchange hashpartitioning(a#" not in check._jdf.queryExecution().executedPlan().toString()
+
+
 def test_filing_rows_collapse_and_silence_is_not_zero(spark):
     cols = {"tenant_id": "string", "sales_month": "string", "is_restatement": "boolean", "date_raw": "string",
             "gross_sales_raw": "string", "net_sales_raw": "string", "submitted_date": "string", "_source_file": "string"}
