@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from plazaflow.functions.columns import lookup, lookup_known, month_start
@@ -135,10 +137,13 @@ def with_contract_flags(exploded: DataFrame) -> DataFrame:
     return out.drop("_low", "_high")
 
 
-def fact_membership_months(contracts: DataFrame, dims: Tables) -> DataFrame:
+def fact_membership_months(
+    contracts: DataFrame, dims: Tables, named: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Full monthly amount in every month, no proration.
 
-    Keys are looked up per contract, before the explosion multiplies the rows.
+    Keys are looked up per contract, before the explosion multiplies the rows. So is what `named`
+    adds to the contracts with their keys; each month carries the added columns.
     """
     span = dims["dim_date"].agg(F.min("full_date").alias("_from"), F.max("full_date").alias("_to"))
     df = resolve_member(contracts)
@@ -146,13 +151,16 @@ def fact_membership_months(contracts: DataFrame, dims: Tables) -> DataFrame:
     df = lookup(df, member, "canonical_member_id")
     df = lookup(df, _keys(dims, "dim_venue", "venue_key", "venue_id"), "venue_id")
     df = lookup_known(df, _keys(dims, "dim_stable", "stable_key", "stable_id"), "stable_id")
+    keyed = df.drop("member_id", "canonical_member_id", "venue_id", "stable_id")
+    df = named(keyed) if named else keyed
+    added = [c for c in df.columns if c not in keyed.columns]
     df = df.crossJoin(F.broadcast(span))  # one row
     df = with_contract_flags(explode_contract_months(df, F.col("_from"), F.col("_to")))
     df = lookup(df, _dates(dims), F.col("month_date") == F.col("full_date"))
     return df.select(
         "contract_id", "member_key", "venue_key", F.col("date_key").alias("month_date_key"), "contract_type",
         "stable_key", F.col("monthly_amount_kwd").alias("mrr_kwd"), F.col("month_status").alias("status"),
-        "is_new", "is_churned",
+        "is_new", "is_churned", *added,
     )
 
 

@@ -741,9 +741,13 @@ def _(s):
 @query("ft9_membership_months", f"""SELECT contract_id, canonical_member_id AS member_id, venue_id, month_date_key, contract_type, stable_id,
     CAST(monthly_amount_kwd AS DOUBLE) AS mrr_kwd, month_status AS status, is_new, is_churned FROM f_member""")
 def _(s):
-    rows = natural(s.facts["fact_membership_months"], s.dims["dim_member"], "member_key", "member_id")
-    rows = natural(rows, s.dims["dim_venue"], "venue_key", "venue_id")
-    return natural(rows, s.dims["dim_stable"], "stable_key", "stable_id")
+    def named(contracts: DataFrame) -> DataFrame:
+        # resolved back per contract: the months of a contract share its keys
+        rows = natural(contracts, s.dims["dim_member"], "member_key", "member_id")
+        rows = natural(rows, s.dims["dim_venue"], "venue_key", "venue_id")
+        return natural(rows, s.dims["dim_stable"], "stable_key", "stable_id")
+
+    return ft.fact_membership_months(s.silver["contracts"], s.dims, named)
 
 
 @query("ft10_lesson_slots", "SELECT lesson_id, date_key, instructor_id, level, capacity, booked, attended, is_overbooked FROM f_lesson")
