@@ -27,15 +27,21 @@ def _unique_sales(silver: Tables) -> DataFrame:
     return silver["pos_sales_lines"].filter(~F.col("is_duplicate"))
 
 
-def fact_pos_sales(silver: Tables, dims: Tables) -> DataFrame:
-    """Lines dated outside the calendar are left out here and counted by `rejects`."""
+def fact_pos_sales(
+    silver: Tables, dims: Tables, named: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Lines dated outside the calendar are left out here and counted by `rejects`.
+
+    What `named` adds to the product keys reaches the lines in the same lookup.
+    """
     df = _unique_sales(silver).join(_dates(dims), F.col("invoice_date") == F.col("full_date"))
     df = lookup(df, _keys(dims, "dim_venue", "venue_key", "venue_id"), "venue_id")
-    product = _keys(dims, "dim_product", "product_key", "product_id")
-    df = lookup(df, product, F.col("item_id") == F.col("product_id"))
+    product = dims["dim_product"].select("product_key", F.col("product_id").alias("_item"))
+    product = named(product) if named else product
+    df = lookup(df, product, F.col("item_id") == F.col("_item"))
     return df.select(
         "invoice_id", "date_key", "venue_key", "product_key", "qty", "sales_price_kwd",
-        "line_amount_kwd", "payment_mode", "is_refund",
+        "line_amount_kwd", "payment_mode", "is_refund", *[c for c in product.columns if c not in ("product_key", "_item")],
     )
 
 

@@ -688,8 +688,11 @@ def _(s):
 @query("ft1_pos_sales", f"""SELECT invoice_id, date_key, venue_id, item_id AS product_id, {num('qty', 'sales_price_kwd', 'line_amount_kwd')},
     payment_mode, is_refund FROM f_pos""")
 def _(s):
-    rows = natural(s.facts["fact_pos_sales"], s.dims["dim_venue"], "venue_key", "venue_id")
-    return natural(rows, s.dims["dim_product"], "product_key", "product_id")
+    # products are resolved back per product, so that the lines meet them once
+    product = s.dims["dim_product"]
+    rows = ft.fact_pos_sales(s.silver, s.dims, lambda keys: natural(keys, product, "product_key", "product_id"))
+    rows = natural(rows, s.dims["dim_venue"], "venue_key", "venue_id")
+    return rows.select(*[c for c in rows.columns if c != "product_id"], "product_id")
 
 
 @query("ft2_footfall", "SELECT date_key, gate_id, CAST(hour AS BIGINT) AS hour, count_in, count_out, is_imputed, is_outlier_corrected FROM f_foot")

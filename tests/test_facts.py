@@ -71,3 +71,20 @@ def test_snapshot_hides_an_end_that_lies_ahead(spark):
     months = literal_frame(spark, [(D(f"2025-0{m}-01"),) for m in range(1, 6)], {"month_start": "date"})
     got = {str(r["month_start"]): (r["status"], r["end_date"]) for r in exports.snapshot_asof(contracts, months).collect()}
     assert got == {"2025-01-01": ("active", None), "2025-02-01": ("active", None), "2025-03-01": ("cancelled", D("2025-03-05"))}
+
+
+@pytest.mark.parametrize("name,above,below", [
+    ("ft9_membership_months", "Generate explode(", "Exchange hashpartitioning("),
+    ("ft1_pos_sales", "Exchange hashpartitioning(item_id", "Exchange hashpartitioning(product_key"),
+])
+def test_names_are_resolved_before_the_rows_are_many(spark, name, above, below):
+    from plazaflow.plans.bindings import Site
+    from plazaflow.plans.catalog import QUERIES
+
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = QUERIES[name](Site(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.index(above) < plan.index(below)
