@@ -14,7 +14,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plazaflow.llm.common import written
+from plazaflow.llm.common import numbered, written
 
 BUCKETS = 4096  # of each source, by a hash of the document
 WORD = r"[^\x20\x09-\x0D]+"
@@ -107,9 +107,30 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = 3, ramp
         "row", "size", "source_size", "target", F.aggregate("takes", F.lit(0).cast("long"), lambda a, t: a + t["words"]).alias("taken"), "takes")
 
 
+def _readings(mixed: DataFrame, *others: str) -> DataFrame:
+    """One row per reading of a document: row, position, words, reading (from 1) and `others`."""
+    return mixed.select("row", *others, F.posexplode("takes").alias("reading", "take")).select(
+        "row", F.col("take.position").alias("position"), F.col("take.words").alias("words"), (F.col("reading") + 1).alias("reading"), *others)
+
+
+def _order() -> list[Column]:
+    return [F.col("position"), F.xxhash64("row.doc_id"), F.col("reading")]
+
+
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """One row per reading of a document, range-sorted by position: row, position, words, reading (from 1)."""
-    read = mixed.select("row", F.posexplode("takes").alias("reading", "take")).select(
-        "row", F.col("take.position").alias("position"), F.col("take.words").alias("words"), (F.col("reading") + 1).alias("reading"))
-    order = ["position", F.xxhash64("row.doc_id"), "reading"]
-    return read.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _readings(mixed).repartitionByRange(*_order()).sortWithinPartitions(*_order())
+
+
+def with_places(mixed: DataFrame) -> DataFrame:
+    """Per row of `mixed`, what its readings are in training order: adds position and place of the first one.
+
+    All readings are range-sorted as by `in_training_order` and numbered from 0 (among readings alike in
+    position, doc_id and reading, by words, size and target). taken is the sum over a row's readings;
+    a row that is never read has 0, and null for position and place.
+    """
+    rows = written(mixed.withColumn("_doc", F.monotonically_increasing_id()), "mixed")
+    read = numbered(_readings(rows, "_doc", "size", "target"), [], [*_order(), F.col("words"), F.col("size"), F.col("target")], "place")
+    first = read.groupBy("_doc").agg(F.min("position").alias("position"), F.min("place").alias("place"), F.sum("words").alias("taken"))
+    joined = rows.drop("taken").join(first, "_doc", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
+    return joined.select(*mixed.columns, "position", "place")

@@ -77,9 +77,8 @@ def op3(spark, sf_dir):
 @query("op4_curriculum_mix")
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = curriculum.mix(docs, carry=["doc_id"])
-    return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken",
-                        F.expr("get(takes.position, 0)").alias("position"))
+    mixed = curriculum.with_places(curriculum.mix(docs, carry=["doc_id"]))
+    return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "position", "place")
 
 
 @query("op5_exact_dedup", """

@@ -66,6 +66,20 @@ def test_positions_follow_the_schedule(spark):
             so_far += r.words
 
 
+def test_places_are_those_of_the_training_order(spark):
+    texts, _, docs = sized_docs(spark, 3)
+    mixed = cu.mix(docs)
+    first = {}
+    for place, r in enumerate(cu.in_training_order(mixed).collect()):
+        first.setdefault(r.row.doc_id, (r.position, place))
+    took = {r.row.doc_id: r.taken for r in mixed.collect()}
+    for frame in (mixed, cu.mix(docs.repartition(7))):
+        got = cu.with_places(frame).collect()
+        assert len(got) == len(texts) and all(r.taken == took[r.row.doc_id] for r in got)
+        assert all((r.position, r.place) == first.get(r.row.doc_id, (None, None)) for r in got)
+    assert cu.with_places(cu.mix(docs.where("false"))).collect() == []
+
+
 def test_repeated_rows_missing_ids_and_empty_table(spark):
     docs = docs_frame(spark, ["a b c"] * 6 + [None], [1, 1, None, None, 2, 2, None], ["x"] * 7)
     rows = cu.mix(docs).collect()
