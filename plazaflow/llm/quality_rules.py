@@ -82,7 +82,10 @@ def ratios() -> dict[str, Column]:
 
 def _lgamma(x: Column) -> Column:
     """log Gamma(x) for x >= 1 (Lanczos, g = 7)."""
-    z = x - 1
+    return _let(_lgamma1, z=x - 1)
+
+
+def _lgamma1(z: Column) -> Column:
     s = F.lit(LANCZOS[0])
     for i, c in enumerate(LANCZOS[1:], 1):
         s = s + F.lit(c) / (z + i)
@@ -104,26 +107,26 @@ def _fraction(a: Column, b: Column, x: Column) -> Column:
     def step(acc, m):
         m = m.cast("double")
         even = m * (b - m) * x / ((a - 1 + 2 * m) * (a + 2 * m))
-        d1 = F.lit(1.0) / guard(1 + even * acc["d"])
-        c1 = guard(1 + even / acc["c"])
-        h1 = acc["h"] * d1 * c1
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 1 + 2 * m))
-        d2 = F.lit(1.0) / guard(1 + odd * d1)
-        c2 = guard(1 + odd / c1)
-        return F.struct(c2.alias("c"), d2.alias("d"), (h1 * d2 * c2).alias("h"))
+
+        def second(odd, d1, c1):
+            return _let(lambda d2, c2: F.struct(c2.alias("c"), d2.alias("d"), (acc["h"] * d1 * c1 * d2 * c2).alias("h")),
+                        d2=F.lit(1.0) / guard(1 + odd * d1), c2=guard(1 + odd / c1))
+
+        return _let(lambda even, odd: _let(lambda d1, c1: second(odd, d1, c1), d1=F.lit(1.0) / guard(1 + even * acc["d"]), c1=guard(1 + even / acc["c"])),
+                    even=even, odd=odd)
 
     return F.aggregate(steps, start, step)["h"]
 
 
 def _beta(a: Column, b: Column, x: Column) -> Column:
     """The regularised incomplete beta function I_x(a, b) for a, b >= 1 and 0 < x < 1."""
-    def body(a, b, x):
+    def body(a, b, x, low):
         front = _let(lambda ga, gb, gab: F.exp(gab - ga - gb + a * F.log(x) + b * F.log(1 - x)), ga=_lgamma(a), gb=_lgamma(b), gab=_lgamma(a + b))
-        low = x < (a + 1) / (a + b + 2)
-        h = _fraction(F.when(low, a).otherwise(b), F.when(low, b).otherwise(a), F.when(low, x).otherwise(1 - x))
-        return F.when(low, front * h / a).otherwise(1 - front * h / b)
+        h = _let(_fraction, a=F.when(low, a).otherwise(b), b=F.when(low, b).otherwise(a), x=F.when(low, x).otherwise(1 - x))
+        return _let(lambda front, h: F.when(low, front * h / a).otherwise(1 - front * h / b), front=front, h=h)
 
-    return _let(body, a=a, b=b, x=x)
+    return _let(lambda a, b, x: _let(lambda low: body(a, b, x, low), low=x < (a + 1) / (a + b + 2)), a=a, b=b, x=x)
 
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
@@ -135,10 +138,11 @@ def largest_safe(n: Column, p: float, bound: Column) -> Column:
     """The largest k in [0, n) with P(Binomial(n, p) <= k) <= bound, or -1; n >= 1."""
     def search(n, bound):
         def step(acc, _):
-            lo, hi = acc["lo"], acc["hi"]
-            mid = F.greatest(F.floor((lo + hi) / 2), F.lit(0)).cast("long")
-            safe = (hi - lo > 1) & (binomial_cdf(mid, n, p) <= bound)
-            return F.struct(F.when(safe, mid).otherwise(lo).alias("lo"), F.when((hi - lo > 1) & ~safe, mid).otherwise(hi).alias("hi"))
+            def halve(mid, open):
+                return _let(lambda safe: F.struct(F.when(safe, mid).otherwise(acc["lo"]).alias("lo"), F.when(open & ~safe, mid).otherwise(acc["hi"]).alias("hi")),
+                            safe=open & (binomial_cdf(mid, n, p) <= bound))
+
+            return _let(halve, mid=F.greatest(F.floor((acc["lo"] + acc["hi"]) / 2), F.lit(0)).cast("long"), open=acc["hi"] - acc["lo"] > 1)
 
         start = F.struct(F.lit(-1).cast("long").alias("lo"), n.alias("hi"))
         steps = F.sequence(F.lit(1), (F.ceil(F.log2(n.cast("double") + 1)) + 1).cast("int"))
