@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import count_where, date_key, mean, month_start, pct, ratio, sum_where
-from plazaflow.operators.calendar import union_all
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -335,11 +334,11 @@ def revenue_summary(
     dues = membership.groupBy("month_date_key").agg(
         sum_where("mrr_kwd", F.col("status") == "active").alias("membership_mrr_kwd")
     )
-    months = union_all([d.select("month_date_key") for d in (till, rent, dues)]).distinct()
-    out = first.join(months, "month_date_key")
-    for side in (till, rent, dues):
-        out = out.join(side, "month_date_key", "left")
-    parts = {c: F.coalesce(c, F.lit(0)) for c in ("own_venue_revenue_kwd", "rental_revenue_kwd", "membership_mrr_kwd")}
+    # a stream has one row per month; stacked, each is computed once
+    stacked = till.unionByName(rent, allowMissingColumns=True).unionByName(dues, allowMissingColumns=True)
+    sums = ("own_venue_revenue_kwd", "rental_revenue_kwd", "membership_mrr_kwd")
+    out = first.join(stacked.groupBy("month_date_key").agg(*[F.max(c).alias(c) for c in sums]), "month_date_key")
+    parts = {c: F.coalesce(c, F.lit(0)) for c in sums}
     return out.select(
         "month_date_key", "month_start", *[v.alias(k) for k, v in parts.items()],
         sum(parts.values(), F.lit(0).cast("decimal(22,6)")).alias("total_revenue_kwd"),

@@ -95,3 +95,27 @@ def test_churn_is_over_the_month_before(spark, date):
     got = sorted(views.membership_active_churn(fact, date).collect(), key=lambda r: r["month_start"])
     assert [(r["active_count"], r["churned_count"], r["churn_rate_pct"] and float(r["churn_rate_pct"]), r["active_mrr_kwd"]) for r in got] == [
         (2, 0, None, 10.0), (1, 1, 50.0, 5.0)]
+
+
+def counted(spark, n, name, *cols):
+    return spark.range(n).withColumnRenamed("id", name).select(*cols)
+
+
+def test_revenue_reads_each_fact_once_and_keeps_months_of_one_stream(spark, date):
+    day = lambda c: F.element_at(F.array(*[F.lit(key(d)) for d in ("2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01")]), c.cast("int") + 1)
+    pos = counted(spark, 2, "pos_row", day(F.col("pos_row")).alias("date_key"), F.lit(5).cast("decimal(12,3)").alias("line_amount_kwd"),
+                  F.lit(False).alias("is_refund"))
+    rent = counted(spark, 1, "rent_row", (F.col("rent_row") + 1).alias("tenant_key"), day(F.col("rent_row") + 2).alias("month_date_key"),
+                   F.lit(True).alias("is_current_version"), F.lit(0).cast("decimal(12,3)").alias("gross_sales_kwd"),
+                   F.lit(0).cast("decimal(12,3)").alias("net_sales_kwd"))
+    money = lambda v: F.lit(v).cast("decimal(12,3)")
+    tenant = spark.range(1).select((F.col("id") + 1).alias("tenant_key"), money(7).alias("base_rent_kwd"),
+                                   money(100).alias("turnover_threshold_kwd"), F.lit(5).cast("decimal(5,2)").alias("turnover_rent_pct"))
+    dues = counted(spark, 2, "dues_row", F.when(F.col("dues_row") == 0, day(F.col("dues_row") + 1)).alias("month_date_key"),
+                   money(3).alias("mrr_kwd"), F.lit("active").alias("status"))
+    out = views.revenue_summary(pos, rent, tenant, dues, date)
+    got = {r.month_date_key: (float(r.own_venue_revenue_kwd), float(r.rental_revenue_kwd), float(r.membership_mrr_kwd), float(r.total_revenue_kwd))
+           for r in out.collect()}
+    assert got == {key("2024-01-01"): (5, 0, 0, 5), key("2024-02-01"): (5, 0, 3, 8), key("2024-03-01"): (0, 7, 0, 7)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Range (0, 2") == 2 and plan.count("Range (0, 1") == 2  # till and dues; rent and tenant
