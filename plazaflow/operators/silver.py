@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plazaflow.functions.columns import (
-    MONEY, QUANTITY, count_where, flags, lookup_known, parse_mixed_dates, try_number,
+    MONEY, QUANTITY, count_where, flags, hashed, lookup_known, parse_mixed_dates, try_number,
 )
 
 POS_DUPLICATE_KEY = [
@@ -74,17 +74,20 @@ def with_duplicate_flag(
     Copies are first ranked within the Arrow batch they are read in, which moves no rows; then only
     the batch winners of a key meet, in the one shuffle of the table. The other copies are spread over
     as many lanes as shuffle partitions, so a key that makes up a large part of the table sends one
-    row a batch to its task however large it is, and no copy is lost.
+    row a batch to its task however large it is, and no copy is lost. Batches see 128 bits of hash
+    for a key. Every other column breaks ties, so all uses of the flag shuffle the same columns and
+    a plan with several of them shuffles once.
     """
     lanes = lanes or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
-    beaten = F.arrow_udf(beaten_in_batch(len(keys)), "boolean").asNondeterministic()  # depends on the batch a row is in
-    local = df.withColumn("_beaten", beaten(*keys, *order))
-    ranked = local.withColumn("_seat", F.when(F.col("_beaten"), lane).otherwise(F.lit(-1))).withColumn(
-        "_final", F.row_number().over(Window.partitionBy(*keys, "_seat").orderBy(*order))
-    )
-    again = F.col("_beaten") | (F.col("_final") > 1)
-    return ranked.withColumn("is_duplicate", again).drop("_beaten", "_seat", "_final")
+    beaten = F.arrow_udf(beaten_in_batch(2), "boolean").asNondeterministic()  # depends on the batch a row is in
+    local = df.withColumn("_beaten", beaten(hashed(keys, 1), hashed(keys, 2), *order))
+    ties = [c for c, kind in df.dtypes if c not in keys and c not in order and not kind.startswith("map")]
+    # a look at the row before, not its number: a filter on row numbers would sort every line before the shuffle too
+    # (the seat tells beaten copies apart already; named in the partition, a filter on the flag drops them before the shuffle)
+    later = F.lag(F.lit(True), 1, False).over(Window.partitionBy(*keys, "_beaten", "_seat").orderBy(*order, *ties))
+    ranked = local.withColumn("_seat", F.when(F.col("_beaten"), lane).otherwise(F.lit(-1))).withColumn("_later", later)
+    return ranked.withColumn("is_duplicate", F.col("_beaten") | F.col("_later")).drop("_beaten", "_seat", "_later")
 
 
 def pos_silver(raw: DataFrame) -> DataFrame:

@@ -48,6 +48,21 @@ def test_duplicate_flag_shuffles_each_row_once_and_gives_the_order_of_one_sort(s
     assert out.exceptAll(want).count() == want.exceptAll(out).count() == 0
 
 
+def test_unique_lines_are_not_sorted_before_their_shuffle_and_leave_beaten_copies_behind(spark):
+    """A filter on row numbers made Spark sort every line by the whole key on both sides of the shuffle."""
+    rows = [(None if i % 5 == 0 else f"k{i % 7}", Decimal(i % 3), f"f{i % 4}", i % 2 == 0) for i in range(400)]
+    df = literal_frame(spark, [(k, str(q), f, r) for k, q, f, r in rows], {"key": "string", "qty": "string", "file": "string", "refund": "boolean"})
+    out = sv.with_duplicate_flag(df.withColumn("qty", F.col("qty").cast("decimal(10,2)")), ["key", "qty"], ["file"])
+    kept = out.filter("not is_duplicate")
+    assert sorted((str(r.key), int(r.qty), r.file) for r in kept.collect()) == sorted(
+        (str(k), q, min(f for a, b, f, _ in rows if (a, b) == (k, q))) for k, q in {(r[0], r[1]) for r in rows})
+    assert out.count() == len(rows)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" not in plan and "xxhash64" in plan
+    window = plan.index("Window [lag")
+    assert "NOT _beaten" in plan[window:]  # below the window and its shuffle
+
+
 def test_wide_keys_are_counted_by_their_hash(spark):
     from plazaflow.operators import quality as dq
 
