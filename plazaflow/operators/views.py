@@ -231,9 +231,13 @@ def tenant_site_metrics(tenant_sales: DataFrame, tenant: DataFrame, date: DataFr
 # ---- bookings and web
 
 def ticket_channel_mix(bookings: DataFrame, pos: DataFrame, product: DataFrame, venue: DataFrame) -> DataFrame:
-    """Online against till per SKU. Both sides are summed to product grain before they meet."""
+    """Online against till per SKU. Both sides are summed to product grain before they meet.
+
+    Rows without a product are one sum a side, which the lookup of the product drops. Dropped earlier, as a filter
+    on the lines' item, they would give this view a duplicate flag and a shuffle of all lines of its own.
+    """
     def per_product(df: DataFrame, amount: str, prefix: str) -> DataFrame:
-        return df.filter(F.col("product_key").isNotNull()).groupBy("product_key").agg(
+        return df.groupBy("product_key").agg(
             F.sum("qty").alias(f"{prefix}_qty"), F.sum(amount).alias(f"{prefix}_amount_kwd")
         )
 

@@ -119,3 +119,19 @@ def test_revenue_reads_each_fact_once_and_keeps_months_of_one_stream(spark, date
     assert got == {key("2024-01-01"): (5, 0, 0, 5), key("2024-02-01"): (5, 0, 3, 8), key("2024-03-01"): (0, 7, 0, 7)}
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Range (0, 2") == 2 and plan.count("Range (0, 1") == 2  # till and dues; rent and tenant
+
+
+def test_till_lines_without_a_product_are_left_out_without_a_filter_on_the_lines(spark):
+    """A filter on the product reached the lines as one on their item, so this view could not share their shuffles."""
+    from plazaflow.plans.bindings import Site
+
+    book = literal_frame(spark, [(3.0, None, 9.0, False), (4.0, 2, 8.0, False)], {
+        "qty": "double", "product_key": "bigint", "amount_kwd": "double", "is_cancelled": "boolean"})
+    pos = sales(spark, [("i", 20240101, 7, 1, 1.0, 5.0, False), ("j", 20240101, 7, None, 2.0, 7.0, False)])
+    product = literal_frame(spark, [(1, "a", "A", "t", None), (2, "b", "B", "t", None)], {
+        "product_key": "bigint", "product_code": "string", "product_name": "string", "category": "string", "venue_key": "bigint"})
+    venue = literal_frame(spark, [(7, "V")], {"venue_key": "bigint", "venue_name": "string"})
+    rows = views.ticket_channel_mix(book, pos, product, venue).collect()
+    assert sorted((r.product_key, int(r.online_qty), int(r.walk_in_qty)) for r in rows) == [(1, 0, 1), (2, 4, 0)]
+    plan = Site(spark, "/root/testdata/sf0.001").views["vw_ticket_channel_mix"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [lag" in plan and "isnotnull(item_id" not in plan
