@@ -108,7 +108,7 @@ def bronze_frame(wh: Warehouse, source: str) -> DataFrame:
 
 
 def _store(wh: Warehouse, layer: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    with ThreadPoolExecutor(WRITERS) as pool:
+    with wh.months_open(), ThreadPoolExecutor(WRITERS) as pool:
         stored = pool.map(lambda item: (item[0], wh.replace_table(layer, *item)), frames.items())
         return dict(stored)
 

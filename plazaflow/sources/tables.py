@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Month-clustered facts: views that ask for a range prune partitions.
@@ -12,6 +15,8 @@ MONTH_OF = {
     "fact_lesson_slots": "date_key",
     "fact_membership_months": "month_date_key",
 }
+OPEN_MONTHS = 128  # files a writing task keeps open; with more months than that Spark sorts the rest of its rows by month
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -71,15 +76,26 @@ class Warehouse:
         fields = [T.StructField(f.name, T.StringType() if f.name == "_drop_month" else f.dataType) for f in plain]
         return self.spark.read.schema(T.StructType(fields)).parquet(path)
 
+    @contextmanager
+    def months_open(self) -> Iterator[None]:
+        """While this holds, a task keeps a file of each month open instead of sorting its rows by month first."""
+        kept = self.spark.conf.get(OPEN_FILES)
+        self.spark.conf.set(OPEN_FILES, OPEN_MONTHS)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(OPEN_FILES, kept)
+
     def replace_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Full refresh. Facts are laid out by month, with hot months split over several files."""
+        """Full refresh. Facts are laid out by month: each task writes a file for every month it has rows of, so the
+        layout moves no rows; a hot month has rows in many tasks and with them many files."""
         where = self.path(layer, name)
         if name in MONTH_OF:
             month = F.floor(F.col(MONTH_OF[name]) / 100).cast("int")
-            laid = df.withColumn("_month", month).hint("rebalance", "_month")
-            laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(f"{where}__staged")
+            df.withColumn("_month", month).write.mode("overwrite").option("partitionOverwriteMode", "static").option(
+                "compression", "zstd").partitionBy("_month").parquet(f"{where}__staged")
         else:
-            df.write.mode("overwrite").parquet(f"{where}__staged")
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{where}__staged")
         self._switch(where)
         return self.read_table(layer, name).drop("_month")
 

@@ -143,3 +143,16 @@ def test_a_refresh_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch):
     assert again.exists("gold", "dim_gate") and again.read_table("gold", "dim_gate").count() == 3
     assert again.replace_table("gold", "dim_gate", spark.range(7)).count() == 7
     assert again.replace_self("gold", "dim_gate", again.read_table("gold", "dim_gate").where("id < 2")).count() == 2
+
+
+def test_months_are_laid_out_without_moving_rows(spark, tmp_path):
+    from plazaflow.plans import warehouse
+
+    wh = Warehouse(spark, str(tmp_path))
+    kept = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(0, 900, 1, 3).select("id", F.when(F.col("id") % 3 > 0, (20250001 + F.col("id") % 3 * 100).cast("int")).alias("date_key"))
+    stored = warehouse._store(wh, "gold", {"fact_bookings": rows})["fact_bookings"]
+    assert stored.count() == 900 and {r.id: r.date_key for r in stored.collect()} == {r.id: r.date_key for r in rows.collect()}
+    files = [f.name for f in (tmp_path / "gold" / "fact_bookings").rglob("*.parquet")]
+    assert len(files) == 9 and all(".zstd." in f for f in files)  # three tasks, three months (one of rows without a date)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == kept
