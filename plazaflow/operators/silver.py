@@ -66,28 +66,52 @@ def beaten_in_batch(n_keys: int) -> Callable[..., pa.Array]:
     return beaten
 
 
+MARKS = 1 << 20  # words of 64 marks: 64 million, in a broadcast of at most about 50 MB however large the table is
+
+
+def _repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds `_repeated`: false only where no other row has the key.
+
+    A key's hash marks one of 64 million places when it is counted twice; the words that hold marks are broadcast. A
+    row whose place was marked by another key is taken for repeated, which costs its way through the shuffle only.
+    """
+    row = F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")])
+    lines = df.withColumn("_print", hashed(keys, 1))
+    # the look at the whole row holds for every row; with it this pass reads the columns that the others read, and shares their shuffles
+    seen = lines.groupBy("_print").agg(F.count(F.lit(1)).alias("_n"), F.bool_or(row == 0).alias("_row"))
+    word, place = F.shiftrightunsigned("_print", 6).bitwiseAND(F.lit(MARKS - 1)), F.col("_print").bitwiseAND(F.lit(63)).cast("int")
+    marks = seen.filter((F.col("_n") > 1) & F.col("_row").isNotNull()).groupBy(word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place)).alias("_marks"))
+    marked = lines.withColumn("_word", word).join(F.broadcast(marks), "_word", "left")
+    hit = F.coalesce(F.getbit("_marks", place) == 1, F.lit(False))
+    return marked.withColumn("_repeated", hit).select(*df.columns, "_repeated")
+
+
 def with_duplicate_flag(
     df: DataFrame, keys: list[str] = POS_DUPLICATE_KEY, order: list[str] = POS_ORDER, lanes: int | None = None
 ) -> DataFrame:
     """Flags the second and later copy of a key (null equals null); the first is kept.
 
-    Copies are first ranked within the Arrow batch they are read in, which moves no rows; then only
-    the batch winners of a key meet, in the one shuffle of the table. The other copies are spread over
-    as many lanes as shuffle partitions, so a key that makes up a large part of the table sends one
-    row a batch to its task however large it is, and no copy is lost. Batches see 128 bits of hash
-    for a key. Every other column breaks ties, so all uses of the flag shuffle the same columns and
-    a plan with several of them shuffles once.
+    Rows whose key comes once are told by counting hashes of keys and stay where they are; only the others are ranked.
+    Copies are first ranked within their Arrow batch, which moves no rows; then only the batch winners of a key meet,
+    in the one shuffle of whole rows. The other copies are spread over as many lanes as shuffle partitions, so a key
+    that makes up a large part of the table sends one row a batch to its task however large it is, and no copy is
+    lost. Batches see 128 bits of hash for a key. Every other column breaks ties, so all uses of the flag shuffle the
+    same columns and a plan with several of them shuffles once.
     """
     lanes = lanes or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
+    marked = _repeated(df, keys)
+    single = marked.filter(~F.col("_repeated")).drop("_repeated").withColumn("is_duplicate", F.lit(False))
     beaten = F.arrow_udf(beaten_in_batch(2), "boolean").asNondeterministic()  # depends on the batch a row is in
-    local = df.withColumn("_beaten", beaten(hashed(keys, 1), hashed(keys, 2), *order))
+    local = marked.filter("_repeated").drop("_repeated").withColumn("_beaten", beaten(hashed(keys, 1), hashed(keys, 2), *order))
     ties = [c for c, kind in df.dtypes if c not in keys and c not in order and not kind.startswith("map")]
     # a look at the row before, not its number: a filter on row numbers would sort every line before the shuffle too
     # (the seat tells beaten copies apart already; named in the partition, a filter on the flag drops them before the shuffle)
     later = F.lag(F.lit(True), 1, False).over(Window.partitionBy(*keys, "_beaten", "_seat").orderBy(*order, *ties))
     ranked = local.withColumn("_seat", F.when(F.col("_beaten"), lane).otherwise(F.lit(-1))).withColumn("_later", later)
-    return ranked.withColumn("is_duplicate", F.col("_beaten") | F.col("_later")).drop("_beaten", "_seat", "_later")
+    flagged = ranked.withColumn("is_duplicate", F.col("_beaten") | F.col("_later")).drop("_beaten", "_seat", "_later")
+    return single.unionByName(flagged)
 
 
 def pos_silver(raw: DataFrame) -> DataFrame:

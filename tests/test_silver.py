@@ -63,6 +63,22 @@ def test_unique_lines_are_not_sorted_before_their_shuffle_and_leave_beaten_copie
     assert "NOT _beaten" in plan[window:]  # below the window and its shuffle
 
 
+def test_rows_whose_key_comes_once_do_not_go_through_the_shuffle(spark, monkeypatch):
+    rows = [(None if i % 10 == 0 else f"k{i}", i % 2, f"f{i % 4}") for i in range(600)] + [("k7", 1, "f0"), ("k9", 1, None)]
+    df = spark.createDataFrame(rows, "key string, other int, file string").repartition(6)
+    sent = sv._repeated(df, ["key", "other"]).filter("_repeated")
+    assert sent.count() == 64 and sent.filter("key is null").count() == 60
+    plan = sv.with_duplicate_flag(df, ["key", "other"], ["file"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("Window [lag") < plan.rindex("getbit(_marks")
+
+    want = sorted((str(k), o, str(f), n > 0) for k, o in {r[:2] for r in rows}
+                  for n, f in enumerate(sorted((r[2] or "" for r in rows if r[:2] == (k, o)))))
+    for places in (sv.MARKS, 1):  # with 64 places nearly every key shares its place with another
+        monkeypatch.setattr(sv, "MARKS", places)
+        out = sv.with_duplicate_flag(df, ["key", "other"], ["file"]).collect()
+        assert sorted((str(r.key), r.other, str(r.file or ""), r.is_duplicate) for r in out) == want
+
+
 def test_wide_keys_are_counted_by_their_hash(spark):
     from plazaflow.operators import quality as dq
 
