@@ -14,6 +14,7 @@ from plazaflow.session import shared_dir
 
 #: Text handled at a time inside a task; a longer document is handled alone.
 CHUNK_BYTES = 2**20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Stands for a missing doc_id where ids are compared: smaller than any real one.
 NO_ID = -(2**63)
 #: The white space that separates words and is stripped from lines: space and tab to return.
@@ -24,10 +25,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: cuts the lineage and outlives executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+def written(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: cuts the lineage and outlives executors.
+
+    batch_bytes: while it is written, Spark hands Python no larger Arrow batches than this (or one row).
+    """
+    conf, path = df.sparkSession.conf, scratch(df.sparkSession, name)
+    kept = conf.get(BATCH_BYTES, None)
+    if batch_bytes:
+        conf.set(BATCH_BYTES, batch_bytes)
+    try:
+        df.write.parquet(path)
+    finally:
+        if batch_bytes:
+            conf.set(BATCH_BYTES, kept) if kept else conf.unset(BATCH_BYTES)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.table_path = path
     return table
@@ -131,20 +142,37 @@ class WordHasher:
         return hashes, np.diff(np.searchsorted(starts, bounds))
 
 
-def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """The texts of a binary column in turn, as lists of at most `most` bytes together, or of one text; null is empty.
-
-    Only one list at a time is taken out of the Arrow buffer.
-    """
+def _chunk_bounds(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most `most` bytes together, or of one row."""
     sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
     lo = total = 0
     for i, size in enumerate(sizes):
         if i > lo and total + size > most:
-            yield [t or b"" for t in column.slice(lo, i - lo).to_pylist()]
+            yield lo, i
             lo, total = i, 0
         total += size
     if lo < len(sizes):
-        yield [t or b"" for t in column.slice(lo).to_pylist()]
+        yield lo, len(sizes)
+
+
+def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The texts of a binary column in turn, as lists of at most `most` bytes together, or of one text; null is empty.
+
+    Only one list at a time is taken out of the Arrow buffer.
+    """
+    for lo, hi in _chunk_bounds(column, most):
+        yield [t or b"" for t in column.slice(lo, hi - lo).to_pylist()]
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], text: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows in turn, in slices of at most `most` bytes of the text in column number `text`, or of one row.
+
+    A function that gives its texts back slice by slice holds no second copy of a whole batch, and the executor
+    reads its answers into small buffers. Nothing is copied here.
+    """
+    for batch in batches:
+        for lo, hi in _chunk_bounds(batch.column(text), most):
+            yield batch.slice(lo, hi - lo)
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "idx") -> DataFrame:

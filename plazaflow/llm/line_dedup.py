@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from plazaflow.llm.common import NO_ID, SPACE, mix, packed, written
+from plazaflow.llm.common import CHUNK_BYTES, NO_ID, SPACE, mix, packed, small_batches, written
 
 SHARD_KEYS = 8192  # keys in a shard, so its row has some 100 KB
 HOT_SHARES = 4096  # a shard is repeated when it gets more than this part of all probes; so fewer than this many are
@@ -140,7 +140,7 @@ class LineIndex:
 
 def _line_hashes(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     """(document, its text's hash, line hash), once for each different long line of a row."""
-    for batch in batches:
+    for batch in small_batches(batches, 2):
         ids, texts, of, digests = batch.column(0).to_numpy(), batch.column(1).to_numpy(), [], []
         for i, text in enumerate(batch.column(2)):
             own = set()
@@ -176,23 +176,21 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(x[lo:hi][hit]) for x in (doc, copy, h1, h2)], names=["doc", "copy", "h1", "h2"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops the named lines of each text; `kept` is null where nothing goes. The packed row and the text pass untouched."""
-    for batch in batches:
-        kept, n_lines, n_dropped, shas = [], [], [], []
-        for text, drop in zip(batch.column(1), batch.column(2)):
-            text, gone = text.as_py() or b"", drop.as_py()
-            lines = text.split(b"\n")
-            n_lines.append(len(lines))
-            if gone:
-                gone = {struct.pack("<qq", d["h1"], d["h2"]) for d in gone}
-                lines = [x for x in lines if _hash(line_key(x)) not in gone]
-            n_dropped.append(n_lines[-1] - len(lines))
-            kept.append(b"\n".join(lines) if n_dropped[-1] else None)
-            shas.append(hashlib.sha256(text if kept[-1] is None else kept[-1]).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(kept, pa.binary()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()),
-             pa.array(shas, pa.string())], names=["row", "text", "kept", "n_lines", "n_dropped", "kept_sha256"])
+def _cut(text: bytes | None, h1: list[int] | None, h2: list[int] | None) -> tuple[bytes | None, int, int, str]:
+    """The text without the lines of these hashes; `kept` is null where nothing goes.
+
+    Pickled rows: Spark sends a hundred texts at a time, where an Arrow batch holds up to ten thousand of them,
+    and the packed row stays in the executor.
+    """
+    text = text or b""
+    lines = text.split(b"\n")
+    n_lines, kept = len(lines), None
+    if h1:
+        gone = {struct.pack("<qq", *h) for h in zip(h1, h2)}
+        lines = [x for x in lines if _hash(line_key(x)) not in gone]
+    if len(lines) < n_lines:
+        kept = b"\n".join(lines)
+    return kept, n_lines, n_lines - len(lines), hashlib.sha256(text if kept is None else kept).hexdigest()
 
 
 def build_index(keys: DataFrame, min_docs: int) -> tuple[DataFrame, int]:
@@ -220,7 +218,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
         raise ValueError("min_docs must fit the count array")
     rows = packed(docs, without="text", doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), copy=F.xxhash64("text"), text=F.col("text").cast("binary"))
     lines = written(
-        rows.select("doc", "copy", "text").mapInArrow(lambda b: _line_hashes(b, min_chars), "doc long, copy long, h1 long, h2 long"), "lines")
+        rows.select("doc", "copy", "text").mapInArrow(lambda b: _line_hashes(b, min_chars), "doc long, copy long, h1 long, h2 long"), "lines", CHUNK_BYTES)
     keys = written(lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper")), "line-keys")
     index, shards = build_index(keys, min_docs)
     index = written(index, "line-index")
@@ -239,6 +237,6 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
         .mapInArrow(_probe, "doc long, copy long, h1 long, h2 long")
     )
     drops = hits.groupBy("doc", "copy").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.join(drops, ["doc", "copy"], "left").select("row", "text", "gone").mapInArrow(
-        _cut, f"row {kind}, text binary, kept binary, n_lines long, n_dropped long, kept_sha256 string")
+    cut = F.udf(_cut, "kept binary, n_lines long, n_dropped long, kept_sha256 string", useArrow=False)
+    done = rows.join(drops, ["doc", "copy"], "left").select("row", "text", cut("text", "gone.h1", "gone.h2").alias("cut"))
+    return done.select("row", "text", *[F.col("cut")[c].alias(c) for c in ("kept", "n_lines", "n_dropped", "kept_sha256")])

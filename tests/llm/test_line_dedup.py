@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward_texts, docs_frame, sha
+from pyspark.sql import functions as F
 
-from plazaflow.llm import line_dedup as ld
+from plazaflow.llm import common, line_dedup as ld
 
 
 def brute(rows):
@@ -60,3 +62,33 @@ def test_index_knows_its_keys_and_few_others():
     assert not index.dropped(h[0], h[1], np.arange(4000)).any()
     assert index.dropped(h[0], h[1], np.full(4000, -5)).all()
     assert index.dropped(h[2], h[3], np.full(4000, -5)).sum() <= 1
+
+
+def test_hashes_come_in_slices_of_a_batch():
+    texts = [b"a line of document %d, long enough\n" % i * 12_000 for i in range(7)]  # 400 KB each
+    texts = [*texts[:4], None, b"", *texts[4:6], texts[6] * 4]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(range(9)), pa.array(texts, pa.binary())], names=["doc", "copy", "text"])
+    got = list(ld._line_hashes(iter([batch]), 20))
+    assert len(got) > 3
+    assert [i for b in got for i in b.column("doc").to_pylist()] == [0, 1, 2, 3, 6, 7, 8]
+
+
+def test_texts_do_not_pass_through_arrow_to_be_cut(spark):
+    """Batches of whole texts there and back were what filled an executor: only probes go by Arrow once lines are hashed."""
+    plan = ld.dedup_lines(docs_frame(spark, awkward_texts()))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "MapInArrow _probe" in plan
+
+
+@pytest.mark.parametrize("own", [None, "32m"])
+def test_written_bounds_the_batches_and_puts_the_setting_back(spark, own):
+    if own:
+        spark.conf.set(common.BATCH_BYTES, own)
+    try:
+        before = spark.conf.get(common.BATCH_BYTES)
+        wide = spark.range(64).coalesce(1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+        sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+        got = [r.n for r in common.written(wide.mapInArrow(sizes, "n long"), "sizes", 2**20).collect()]
+        assert sum(got) == 64 and max(got) <= 12
+        assert spark.conf.get(common.BATCH_BYTES) == before
+    finally:
+        spark.conf.unset(common.BATCH_BYTES)
