@@ -15,6 +15,8 @@ from plazaflow.session import shared_dir
 #: Text handled at a time inside a task; a longer document is handled alone.
 CHUNK_BYTES = 2**20
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Shuffle files go as soon as the query that made them has ended, not when the driver happens to collect garbage.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id where ids are compared: smaller than any real one.
 NO_ID = -(2**63)
 #: The white space that separates words and is stripped from lines: space and tab to return.
@@ -31,14 +33,15 @@ def written(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFra
     batch_bytes: while it is written, Spark hands Python no larger Arrow batches than this (or one row).
     """
     conf, path = df.sparkSession.conf, scratch(df.sparkSession, name)
-    kept = conf.get(BATCH_BYTES, None)
-    if batch_bytes:
-        conf.set(BATCH_BYTES, batch_bytes)
+    wanted = {FREES_SHUFFLES: "true"} | ({BATCH_BYTES: batch_bytes} if batch_bytes else {})
+    kept = {key: conf.get(key, None) for key in wanted}
     try:
+        for key, value in wanted.items():
+            conf.set(key, value)
         df.write.parquet(path)
     finally:
-        if batch_bytes:
-            conf.set(BATCH_BYTES, kept) if kept else conf.unset(BATCH_BYTES)
+        for key, value in kept.items():
+            conf.set(key, value) if value else conf.unset(key)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.table_path = path
     return table

@@ -2,8 +2,10 @@
 
 Equal sets are one class. For candidates a set is cut by a hash of its shingles into more parts
 than two linked sets can differ in, so linked sets have equal parts; the largest parts suffice.
+Most parts are of one class only: tasks first send the places of their parts in a space of hashes,
+at some two bytes each, and only parts whose place comes more than once are sent with their class.
 Classes that share parts, directly or through others, form a family, and no link leaves a
-family. Only texts of families are shuffled. Each family gets
+family. Only texts of families are shuffled, one a class. Each family gets
 a signature tree: leaves of classes, and nodes with the OR of their bitmaps and their range of
 sizes. A traversal of node pairs drops those whose largest possible overlap is too small and
 those that are one component already; what remains is compared exactly. A large family is cut
@@ -21,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plazaflow.llm.common import NO_ID, Bloom, WordHasher, mix, packed, text_chunks, unpacked, written
+from plazaflow.llm.common import NO_ID, Bloom, WordHasher, discard, mix, packed, text_chunks, unpacked, written
 from plazaflow.llm.components import components
 
 SHINGLE = 3
@@ -29,6 +31,8 @@ PERCENT = 90
 BLOCK_SHINGLES = 2**20  # of the classes in a block of a family, and of the small families in a task
 LEAF, FAN = 16, 8
 SEEN = 200_000  # classes whose text a task has sent already; forgotten when there are more
+HELD_KEYS = 2**20  # part keys that a task gathers before it sends their places
+BUCKET_KEYS = 2**17  # part keys whose places meet in one group
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -125,29 +129,88 @@ def _classes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                                          names=["doc_id", "copy", "n", "c1", "c2"])
 
 
-def _keys(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _first_texts(batches: Iterator[pa.RecordBatch], first: Bloom) -> Iterator[list[bytes]]:
+    """The texts of (text, h) in chunks, without most of those that `first` does not name."""
+    for batch in batches:
+        yield from text_chunks(batch.column(0).filter(pa.array(first.passes(batch.column(1).to_numpy()))))
+
+
+class Places:
+    """A space of at least 32 places a part key; its first bits are a place's bucket."""
+
+    def __init__(self, keys: int):
+        self.bits = max((32 * keys).bit_length(), 16)
+        self.inner = self.bits - min(max(keys // BUCKET_KEYS, 1).bit_length(), 14)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def packed(self, places: np.ndarray) -> pa.RecordBatch:
+        """(bucket, marks): the places of each bucket in order, each as what it is beyond the one before, in 16 bits;
+        65535 is a step without a place. Of equal places two are kept."""
+        places = np.sort(places)
+        places = places[np.concatenate([np.ones(2, bool), places[2:] != places[:-2]])[: len(places)]]
+        bucket, at = np.unique(places >> self.inner, return_index=True)
+        beyond = np.diff(places, prepend=0)
+        beyond[at] = places[at] - (bucket << self.inner)
+        ends = np.cumsum(beyond // 65535 + 1)
+        marks = np.full(ends[-1], 65535, np.uint16)
+        marks[ends - 1] = beyond % 65535
+        offsets = np.append(0, 2 * ends[np.append(at[1:], len(places)) - 1]).astype(np.int32)
+        blobs = pa.Array.from_buffers(pa.binary(), len(bucket), [None, pa.py_buffer(offsets), pa.py_buffer(marks)])
+        return pa.RecordBatch.from_arrays([pa.array(bucket), blobs], names=["bucket", "marks"])
+
+    def repeated(self, group: pa.Table) -> pa.Table:
+        """The places that come more than once among the rows of a bucket."""
+        found = []
+        for blob in group.column("marks").to_pylist():
+            marks = np.frombuffer(blob, np.uint16)
+            found.append(np.cumsum(marks.astype(np.int64))[marks != 65535])
+        places = np.sort(np.concatenate(found))
+        places = np.unique(places[1:][places[1:] == places[:-1]])
+        return pa.table({"place": places + (group.column("bucket")[0].as_py() << self.inner)})
+
+
+def _marks(batches: Iterator[pa.RecordBatch], size: int, percent: int, first: Bloom, places: Places) -> Iterator[pa.RecordBatch]:
+    """(bucket, marks) of the parts of all classes."""
+    hasher, scheme, held, n = WordHasher(~_SPACES), Scheme(percent), [], 0
+    for texts in _first_texts(batches, first):
+        sets = {_digest(s)[0]: s for s in shingle_sets(texts, size, hasher) if len(s)}
+        if sets:
+            held.append(places.of(np.concatenate(part_keys(list(sets.values()), scheme))))
+            n += len(held[-1])
+        if n >= HELD_KEYS:
+            yield places.packed(np.concatenate(held))
+            held, n = [], 0
+    if n:
+        yield places.packed(np.concatenate(held))
+
+
+def _keys(batches: Iterator[pa.RecordBatch], size: int, percent: int, first: Bloom, places: Places, shared: Bloom) -> Iterator[pa.RecordBatch]:
     """(key, class, other): rows with a null `other` are parts to be met; the rest ties a class to another of its chunk.
 
     Within a chunk each class is cut once, and each key is sent by the first class that has it;
-    the others name that class instead, so a common key leaves a chunk once.
+    the others name that class instead, so a common key leaves a chunk once. Most keys that no
+    other class has are left out.
     """
     hasher, scheme = WordHasher(~_SPACES), Scheme(percent)
-    for batch in batches:
-        for texts in text_chunks(batch.column(0)):
-            sets = {_digest(s)[0]: s for s in shingle_sets(texts, size, hasher) if len(s)}
-            if not sets:
-                continue
-            ids, keys = np.array(list(sets), np.int64), part_keys(list(sets.values()), scheme)
-            flat, of = np.concatenate(keys), np.repeat(np.arange(len(ids)), [len(k) for k in keys])
-            _, at, inverse = np.unique(flat, return_index=True, return_inverse=True)
-            holder = of[at][inverse]
-            lead = holder == of
-            ties = np.unique(np.stack([ids[of[~lead]], ids[holder[~lead]]]), axis=1)
-            n = int(lead.sum())
-            other = np.concatenate([np.zeros(n, np.int64), ties[1]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([flat[lead].view(np.int64), ties[0]])), pa.array(np.concatenate([ids[of[lead]], ties[0]])),
-                 pa.array(other, mask=np.arange(len(other)) < n)], names=["key", "c", "other"])
+    for texts in _first_texts(batches, first):
+        sets = {_digest(s)[0]: s for s in shingle_sets(texts, size, hasher) if len(s)}
+        if not sets:
+            continue
+        ids, keys = np.array(list(sets), np.int64), part_keys(list(sets.values()), scheme)
+        flat, of = np.concatenate(keys), np.repeat(np.arange(len(ids)), [len(k) for k in keys])
+        met = shared.passes(places.of(flat))
+        flat, of = flat[met], of[met]
+        _, at, inverse = np.unique(flat, return_index=True, return_inverse=True)
+        holder = of[at][inverse]
+        lead = holder == of
+        ties = np.unique(np.stack([ids[of[~lead]], ids[holder[~lead]]]), axis=1)
+        n = int(lead.sum())
+        other = np.concatenate([np.zeros(n, np.int64), ties[1]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([flat[lead].view(np.int64), ties[0]])), pa.array(np.concatenate([ids[of[lead]], ties[0]])),
+             pa.array(other, mask=np.arange(len(other)) < n)], names=["key", "c", "other"])
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,38 +328,51 @@ def _task(pdf: pd.DataFrame, size: int, percent: int) -> pd.DataFrame:
 
 
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b) edges between class ids that connect all linked classes."""
-    keys = docs.select("text").mapInArrow(lambda b: _keys(b, size, percent), "key long, c long, other long")
+    """(a, b) edges between class ids that connect all linked classes.
+
+    docs: text and h; of a class's rows those with the h of the class stand for it.
+    """
+    n_classes, n_shingles = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    first_rows = Bloom(classes.select("h"), n_classes)
+    # a set is cut twice, into parts for twice this share of the largest set of its band
+    places = Places(4 * n_shingles * (100 - percent) * 100 // ((100 + percent) * percent) + 2 * n_classes)
+    marks = docs.mapInArrow(lambda b: _marks(b, size, percent, first_rows, places), "bucket long, marks binary")
+    repeated = written(marks.groupBy("bucket").applyInArrow(lambda group: places.repeated(group), "place long"), "repeated-places")
+    shared = Bloom(repeated, repeated.count())
+    discard(repeated)
+    keys = docs.mapInArrow(lambda b: _keys(b, size, percent, first_rows, places, shared), "key long, c long, other long")
     stars = keys.repartition("key").sortWithinPartitions("key", "c").mapInArrow(_stars, "a long, b long")
     family = components(stars).select(F.col("node").alias("c1"), F.col("component").alias("family"))
-    members = written(classes.join(family, "c1"), "members")  # c1, c2, cid, n, family
+    members = written(classes.join(family, "c1"), "members")  # c1, c2, cid, n, h, family
     sums = members.groupBy("family").agg(F.sum("n").alias("weight"))
     blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("long")
     total, n_members = members.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total, wanted = total or 0, Bloom(members.select("c1"), n_members)
+    total, wanted = total or 0, Bloom(members.select("h"), n_members)
     slots = F.lit(-(-total // BLOCK_SHINGLES) or 1)
     placed = members.join(sums, "family").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), "blocks")).withColumn(
         "slot", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), slots)).otherwise(-1))
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A text of each class of a family (and of few others), about once per task."""
+        """A text of each class of a family (and of few others), about once."""
         hasher, seen = WordHasher(~_SPACES), set()
-        for batch in batches:
-            digests = [_digest(s) if len(s) else (0, 0) for texts in text_chunks(batch.column(0)) for s in shingle_sets(texts, size, hasher)]
-            c1, c2 = np.array(digests, np.int64).reshape(-1, 2).T
+        for texts in _first_texts(batches, wanted):
+            digests = [_digest(s) if len(s) else (0, 0) for s in shingle_sets(texts, size, hasher)]
             if len(seen) > SEEN:
                 seen.clear()
             keep = []
-            for i in np.flatnonzero(wanted.passes(c1)):
-                if digests[i] != (0, 0) and digests[i] not in seen:
-                    seen.add(digests[i])
+            for i, digest in enumerate(digests):
+                if digest != (0, 0) and digest not in seen:
+                    seen.add(digest)
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(c1[keep]), pa.array(c2[keep]), batch.column(0).take(pa.array(keep, pa.int64()))], names=["c1", "c2", "text"])
-
-    texts = docs.select("text").mapInArrow(once, "c1 long, c2 long, text binary")
-    # the same plan at every size: texts are shuffled also where the members would fit a broadcast
-    held = placed.select("c1", "c2", "cid", "family", "slot", "block", "blocks").hint("merge").join(texts, ["c1", "c2"])
-    held = written(held.groupBy("cid", "family", "slot", "block", "blocks").agg(F.first("text").alias("text")), "family-texts")
+            c1, c2 = np.array([digests[i] for i in keep], np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(c1), pa.array(c2), pa.array([texts[i] for i in keep], pa.binary())], names=["c1", "c2", "text"])
+
+    texts = docs.mapInArrow(once, "c1 long, c2 long, text binary")
+    # the same plan at every size: texts are shuffled also where the members would fit a broadcast; the join leaves
+    # the rows of a class together and in order, so the aggregate moves nothing
+    at = ["cid", "family", "slot", "block", "blocks"]
+    held = placed.select("c1", "c2", *at).hint("merge").join(texts, ["c1", "c2"])
+    held = written(held.groupBy("c1", "c2").agg(*[F.first(c).alias(c) for c in [*at, "text"]]).select(*at, "text"), "family-texts")
     schema = "a long, b long"
     # a large family: each block with itself and with the first block
     spread = F.when((F.col("blocks") > 1) & (F.col("block") == 0), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
@@ -306,6 +382,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     first = written(first, "links")
     large = held.where("blocks > 1").select("cid", "family", "blocks")
     if large.isEmpty():
+        discard(held)
         return first
     # of a large family's components the largest need not be compared with itself; all else meets all
     found = components(first).select(F.col("node").alias("cid"), "component")
@@ -328,7 +405,9 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         F.transform(every(zero, F.col("r") - 1), lambda o: F.struct(o.alias("i"), F.col("at").alias("j"))))
     second = sides.select("cid", "family", "known", F.explode(meets).alias("m")).join(held.select("cid", "text"), "cid").groupBy(
         "family", "m.i", "m.j").applyInPandas(lambda pdf: _task(pdf, size, percent), schema)
-    return first.union(written(second, "links"))
+    second = written(second, "links")
+    discard(held)
+    return first.union(second)
 
 
 def _id_key(doc_id: Column) -> Column:
@@ -346,9 +425,11 @@ def near_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     rows = source.withColumn("copy", F.xxhash64("text")).mapInArrow(lambda b: _classes(b, size), "doc_id long, copy long, n long, c1 long, c2 long")
     rows = written(rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("key", _id_key(F.col("doc_id"))), "shingle-classes")
+    h = F.xxhash64("key", "copy")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
-        F.min("rid").alias("cid"), F.min("doc_id").alias("first_doc"), F.max("n").alias("n")), "classes")
-    edges = _links(source, classes.select("c1", "c2", "cid", "n"), size, percent)
+        F.min("rid").alias("cid"), F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.min(h).alias("h")), "classes")
+    texts = source.select("text", F.xxhash64(_id_key(F.col("doc_id")), F.xxhash64("text")).alias("h"))
+    edges = _links(texts, classes.select("c1", "c2", "cid", "n", "h"), size, percent)
     label = components(edges).select(F.col("node").alias("cid"), "component")
     named = classes.join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     names = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from helpers import awkward_texts, docs_frame, prose, words
 
@@ -102,3 +104,43 @@ def test_tree_finds_all_links():
         for i, x in enumerate(got):
             first.setdefault(x, i)
         assert sorted((i, len(s), first[x]) for i, (s, x) in enumerate(zip(sets, got))) == want
+
+
+def test_places_that_come_twice():
+    rng, places = np.random.default_rng(3), sj.Places(300_000)
+    flushes = [rng.integers(0, 2**places.bits, 2000) for _ in range(3)]
+    flushes[1][:50], flushes[2][:50] = flushes[0][:50], flushes[0][:50]  # of several tasks
+    flushes[2][60:90] = flushes[2][90]  # of one
+    flushes.append(np.array([0, 2**places.bits - 1, 0]))
+    seen, counts = np.unique(np.concatenate(flushes), return_counts=True)
+    rows = pa.Table.from_batches([places.packed(f) for f in flushes])
+    groups = [rows.filter(pc.equal(rows.column("bucket"), b)) for b in pc.unique(rows.column("bucket"))]
+    assert len(groups) > 2 and sorted(p for g in groups for p in places.repeated(g).column("place").to_pylist()) == seen[counts > 1].tolist()
+    assert sum(len(m) for m in rows.column("marks").to_pylist()) < 4 * sum(map(len, flushes))
+
+
+def test_parts_of_one_class_stay_where_they_are(spark):
+    rng = random.Random(8)
+    near = prose(rng, 400, [f"n{i}" for i in range(300)])
+    texts = [prose(rng, 400, [f"t{k}-{i}" for i in range(300)]) for k in range(20)] + [near, edited(rng, near, 4)]
+    sets = sj.shingle_sets([t.encode() for t in texts], 5, sj.WordHasher(~sj._SPACES))
+    parts = sj.part_keys(sets, sj.Scheme(80))
+    places = sj.Places(sum(map(len, parts)))
+    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+    frame = lambda values: spark.createDataFrame([(int(v),) for v in values], "v long")
+    first, shared = sj.Bloom(frame(range(len(texts))), len(texts)), sj.Bloom(frame(places.of(keys[counts > 1])), int((counts > 1).sum()))
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts]), pa.array(range(len(texts)))], names=["text", "h"])
+    sent = pa.Table.from_batches(list(sj._keys(iter([batch]), 5, 80, first, places, shared))).filter(pc.field("other").is_null())
+    held = set(sent.column("key").to_pylist())
+    assert set(keys[counts > 1].view(np.int64).tolist()) <= held and len(held) < len(keys) // 10
+
+
+def test_a_class_is_cut_once_and_sends_one_text(spark):
+    rng = random.Random(9)
+    near = prose(rng, 60, [f"n{i}" for i in range(300)])
+    texts = [near] * 40 + [edited(rng, near, 1)] * 40 + [None, ""]
+    assert run(docs_frame(spark, texts).repartition(8)) == brute(texts, range(len(texts)))
+    docs = docs_frame(spark, texts)
+    lead = sj.Bloom(docs.where("doc_id IN (0, 40)").select("doc_id"), 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([None if t is None else t.encode() for t in texts]), pa.array(range(len(texts)))], names=["text", "h"])
+    assert sum(map(len, sj._first_texts(iter([batch]), lead))) < 10
