@@ -15,6 +15,15 @@ MONTH_OF = {
     "fact_lesson_slots": "date_key",
     "fact_membership_months": "month_date_key",
 }
+# Keys that hardly repeat in a file: their dictionaries would be built, found too large and dropped, for each file kept open.
+NO_DICTIONARY = {
+    "contracts": ["contract_id"],
+    "lesson_slots": ["lesson_id"],
+    "web_bookings": ["booking_id"],
+    "fact_bookings": ["booking_id"],
+    "fact_lesson_slots": ["lesson_id"],
+    "fact_membership_months": ["contract_id", "member_key"],
+}
 OPEN_MONTHS = 128  # files a writing task keeps open; with more months than that Spark sorts the rest of its rows by month
 OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -90,12 +99,13 @@ class Warehouse:
         """Full refresh. Facts are laid out by month: each task writes a file for every month it has rows of, so the
         layout moves no rows; a hot month has rows in many tasks and with them many files."""
         where = self.path(layer, name)
+        plain = {f"parquet.enable.dictionary#{c}": "false" for c in NO_DICTIONARY.get(name, [])}
         if name in MONTH_OF:
             month = F.floor(F.col(MONTH_OF[name]) / 100).cast("int")
-            df.withColumn("_month", month).write.mode("overwrite").option("partitionOverwriteMode", "static").option(
-                "compression", "zstd").partitionBy("_month").parquet(f"{where}__staged")
+            df.withColumn("_month", month).write.mode("overwrite").option("partitionOverwriteMode", "static").options(
+                compression="zstd", **plain).partitionBy("_month").parquet(f"{where}__staged")
         else:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{where}__staged")
+            df.write.mode("overwrite").options(compression="zstd", **plain).parquet(f"{where}__staged")
         self._switch(where)
         return self.read_table(layer, name).drop("_month")
 

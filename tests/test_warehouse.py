@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,14 @@ def test_missing_texts_are_null(spark, tmp_path):
     rows = drops.read_drop(spark, str(tmp_path / "d"), "x_*.csv").collect()
     assert sorted((r["a"] or "-", r["b"] or "-") for r in rows) == [("-", "-"), ("-", "1"), ("ok", "-")]
     assert {r["_source_file"] for r in rows} == {"x_20250101.csv"}
+
+
+def test_keys_that_hardly_repeat_get_no_dictionary(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    df = spark.sql("SELECT concat('K', id % 9) AS contract_id, id AS member_key, 20250101 AS month_date_key, 'gym' AS contract_type FROM range(2000)")
+    stored = wh.replace_table("gold", "fact_membership_months", df)
+    assert sorted(stored.collect()) == sorted(df.collect())
+    for file in (tmp_path / "gold" / "fact_membership_months").rglob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        coded = {group.column(i).path_in_schema: any("DICTIONARY" in e for e in group.column(i).encodings) for i in range(group.num_columns)}
+        assert coded == {"contract_id": False, "member_key": False, "month_date_key": True, "contract_type": True}
