@@ -44,8 +44,8 @@ def shingle_sets(texts: list[bytes], size: int, hasher: WordHasher) -> list[np.n
     ends = np.cumsum(n)
     with np.errstate(over="ignore"):
         joined = mix(words + np.uint64(size))
-        for j in range(1, size):
-            joined[: len(words) - j] = mix(joined[: len(words) - j] + words[j:]) if len(words) > j else joined[:0]
+        for j in range(1, min(size, len(words))):
+            joined[: len(words) - j] = mix(joined[: len(words) - j] + words[j:])
         out = []
         for end, k in zip(ends, n):
             if k >= size:

@@ -144,3 +144,9 @@ def test_a_class_is_cut_once_and_sends_one_text(spark):
     lead = sj.Bloom(docs.where("doc_id IN (0, 40)").select("doc_id"), 2)
     batch = pa.RecordBatch.from_arrays([pa.array([None if t is None else t.encode() for t in texts]), pa.array(range(len(texts)))], names=["text", "h"])
     assert sum(map(len, sj._first_texts(iter([batch]), lead))) < 10
+
+
+@pytest.mark.parametrize("n", range(7))
+def test_chunks_of_few_words(n):
+    sets = sj.shingle_sets([b"", b" ".join([b"w%d" % i for i in range(n)])], 5, sj.WordHasher(~sj._SPACES))
+    assert [len(s) for s in sets] == [0, max(n - 4, min(n, 1))]
